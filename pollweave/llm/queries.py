@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollweave.llm import cooccur, termfreq
+from pollweave.llm import cooccur, lookalike, termfreq
 from pollweave.operators import packed
 from pollweave.sources.tables import table
 
@@ -96,3 +96,24 @@ marks as (select src, term, occurrences, records, case when records < 3 then 'ra
 """
 SQL["p7_found"] = _TERMS + "select src, term, mark from marks where mark is not null"
 SQL["p7_counts"] = _TERMS + "select src, term, occurrences, records, coalesce(mark, 'kept') as mark from marks"
+
+
+# problem 4: visually identical text
+
+_P4 = (("char_votes_jp", "日文名"), ("char_votes_cn", "译名"))
+
+
+def _alike(spark: SparkSession, d: str) -> DataFrame:
+    dim = table(spark, d, "char_dim", "日文名", "译名")
+    return _union([lookalike.found(table(spark, d, src, "row_id", c), c, ["row_id"], dim, c).withColumn("src", F.lit(src)) for src, c in _P4])
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _alike(spark, d).select("src", "row_id")
+
+
+@query
+def p4_canonical(spark: SparkSession, d: str) -> DataFrame:
+    """How many rows of each name are written in other characters."""
+    return _alike(spark, d).groupBy("src", "looks_like").agg(F.count("*").alias("n_rows"))
