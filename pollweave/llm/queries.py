@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollweave.llm import cooccur, lookalike, termfreq
+from pollweave.llm import canonical, cooccur, lookalike, termfreq
 from pollweave.operators import packed
 from pollweave.sources.tables import table
 
@@ -117,3 +117,38 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_canonical(spark: SparkSession, d: str) -> DataFrame:
     """How many rows of each name are written in other characters."""
     return _alike(spark, d).groupBy("src", "looks_like").agg(F.count("*").alias("n_rows"))
+
+
+# problem 5: free-entered values
+
+_P5 = (("music_votes_cn", "song"), ("song_dim", "song"), ("char_votes_cn", "char"))
+
+
+def _entries(spark: SparkSession, d: str) -> DataFrame:
+    """``(src, row_id, value, ref_name, ref_id, jaccard)`` of every row with a 译名 that is no entry itself."""
+    canon = table(spark, d, "canon_names")
+    parts = []
+    for kind in ("song", "char"):
+        ref = canon.where(F.col("ref_kind") == kind).select(F.col("ref_name").alias("value"), "ref_id")
+        rows = _union([table(spark, d, src, "row_id", "译名").select(F.lit(src).alias("src"), "row_id", F.col("译名").alias("value")) for src, k in _P5 if k == kind])
+        rows = rows.where("value is not null").join(F.broadcast(ref.select("value").distinct()), "value", "left_anti")
+        got = canonical.mapped(rows.select("value"), ref.select("value"))
+        ids = ref.groupBy(F.col("value").alias("ref_name")).agg(F.min("ref_id").alias("ref_id"))
+        got = got.join(F.broadcast(ids), "ref_name", "left")
+        parts.append(rows.join(got, "value").select("src", "row_id", "value", "ref_name", "ref_id", "jaccard"))
+    return _union(parts)
+
+
+@query
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _entries(spark, d).select("src", "row_id", F.coalesce("ref_id", F.lit(0)).cast("bigint").alias("ref_id"))
+
+
+@query
+def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Values that mean no entry, and how often they were typed."""
+    return _entries(spark, d).where("ref_id is null").groupBy("src", "value").agg(F.count("*").alias("n_rows"))
+
+
+def p5_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _entries(spark, d)
