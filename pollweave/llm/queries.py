@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollweave.llm import canonical, cooccur, lookalike, termfreq
+from pollweave.llm import boilerplate, canonical, cooccur, lookalike, termfreq
 from pollweave.operators import packed
 from pollweave.sources.tables import table
 
@@ -152,3 +152,19 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_scores(spark: SparkSession, d: str) -> DataFrame:
     return _entries(spark, d)
+
+
+# problem 3: page boilerplate
+
+
+@query
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate.content_lines(table(spark, d, "page_cache", "page_id", "text"), "page_id", "text").select("page_id", "line_no")
+
+
+@query
+def p3_articles(spark: SparkSession, d: str) -> DataFrame:
+    """The articles themselves: the content lines of each page that has any."""
+    lines = boilerplate.content_lines(table(spark, d, "page_cache", "page_id", "text"), "page_id", "text")
+    body = F.array_sort(F.collect_list(F.struct("line_no", "line")))
+    return lines.groupBy("page_id").agg(F.count("*").alias("n_lines"), F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("article"))
