@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollweave.llm import boilerplate, canonical, cooccur, lookalike, termfreq
+from pollweave.llm import boilerplate, canonical, cooccur, leakage, lookalike, termfreq
 from pollweave.operators import packed
 from pollweave.sources.tables import table
 
@@ -168,3 +168,22 @@ def p3_articles(spark: SparkSession, d: str) -> DataFrame:
     lines = boilerplate.content_lines(table(spark, d, "page_cache", "page_id", "text"), "page_id", "text")
     body = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     return lines.groupBy("page_id").agg(F.count("*").alias("n_lines"), F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("article"))
+
+
+# problem 9: evaluation texts in the corpus
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
+@query
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).where(F.col("passage") >= leakage.MIN_PASSAGE).select("doc_id", "item_id")
+
+
+@query
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """Which items leaked: documents with a passage, and the largest share of the item covered in one of them."""
+    hit = _leaks(spark, d).where(F.col("passage") >= leakage.MIN_PASSAGE)
+    return hit.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("passage").alias("longest_passage"), F.round(F.max(F.col("covered") / F.col("item_letters")), 4).alias("max_coverage"))
