@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollweave.llm import boilerplate, canonical, cooccur, leakage, lookalike, termfreq
+from pollweave.llm import boilerplate, canonical, cooccur, langid, leakage, lookalike, termfreq
 from pollweave.operators import packed
 from pollweave.sources.tables import table
 
@@ -187,3 +187,24 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     """Which items leaked: documents with a passage, and the largest share of the item covered in one of them."""
     hit = _leaks(spark, d).where(F.col("passage") >= leakage.MIN_PASSAGE)
     return hit.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("passage").alias("longest_passage"), F.round(F.max(F.col("covered") / F.col("item_letters")), 4).alias("max_coverage"))
+
+
+# problem 10: document languages
+
+
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text", "lang")
+    return langid.languages(docs, "doc_id", "text", langid.trained(docs, "doc_id", "text", "lang"))
+
+
+@query
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text", "lang")
+    model = langid.trained(docs, "doc_id", "text", "lang")
+    return langid.corrections(docs, "doc_id", "text", "lang", model).select("doc_id", "seg_no", "lang")
+
+
+@query
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every document (row 0) and line with the confidence."""
+    return _languages(spark, d).select("doc_id", "seg_no", "lang", F.round("confidence", 4).alias("confidence"))
