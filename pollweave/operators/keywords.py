@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pollweave.functions.scalars import is_number, is_single_alnum, tokens
 from pollweave.functions.semantics import col
-from pollweave.session import checkpoint_dir
 
 
 def term_counts(docs: DataFrame, key: str, text: str, least: int = 1, words: Column | None = None) -> DataFrame:
@@ -84,27 +88,40 @@ def matrix(keywords: DataFrame, keyword: str = "keyword", source: str = "source"
     return n.join(numbered(keyword, "row"), keyword).join(numbered(source, "column"), source)
 
 
-def textrank(tokens_df: DataFrame, key: str, k: int = 20, span: int = 5, rounds: int = 10, damping: float = 0.85, cut_every: int = 5) -> DataFrame:
-    """``(key, term, score, rank)``: terms ranked by weighted PageRank on co-occurrence within ``span`` words.
-
-    ``tokens_df``: ``key, pos, term`` (already filtered; pairs look only at neighbours in a document, so a
-    long document costs its length times the span). Scores are divided by the document's largest. Lineage
-    is cut by checkpoint() every few rounds.
+def rank_graph(words: list[str], span: int = 5, rounds: int = 10, damping: float = 0.85) -> list[tuple[str, float]]:
+    """Weighted PageRank of the words on their co-occurrence within ``span`` places; the largest score is 1."""
+    names, at = np.unique(np.array(words, dtype=object).astype(str), return_inverse=True)
+    n = len(names)
+    a = np.concatenate([at[:-d] for d in range(1, span) if d < len(at)] or [at[:0]])
+    b = np.concatenate([at[d:] for d in range(1, span) if d < len(at)] or [at[:0]])
+    a, b = a[a != b], b[a != b]
+    if not len(a):
+        return []
+    edge, w = np.unique(np.concatenate([a * n + b, b * n + a]), return_counts=True)
+    src, dst = edge // n, edge % n
+    flow = w / np.bincount(src, w, n)[src]
+    linked = np.bincount(dst, minlength=n) > 0
+    score = linked.astype(float)
+    for _ in range(rounds):
+        score = np.where(linked, (1 - damping) + damping * np.bincount(dst, flow * score[src], n), 0.0)
+    score = np.round(score / score.max(), 9)
+    order = sorted(np.flatnonzero(linked).tolist(), key=lambda i: (-score[i], names[i].encode()))
+    return [(str(names[i]), float(score[i])) for i in order]
+
+
+def textrank(docs: DataFrame, key: str, words: Column, k: int = 20, span: int = 5, rounds: int = 10, damping: float = 0.85) -> DataFrame:
+    """``(key, term, score, rank)``: the ``k`` best terms of each document by :func:`rank_graph`, ties by term.
+
+    Every document is a graph of its own, so it is ranked where it is read: one narrow pass, no shuffle,
+    memory for one document's words times the span. ``words`` is an array of the admitted words in order;
+    documents with fewer than two different words give no rows.
     """
-    checkpoint_dir(tokens_df.sparkSession)
-    w = Window.partitionBy(col(key)).orderBy("pos")
-    ahead = F.collect_list("term").over(w.rowsBetween(1, span - 1))
-    near = tokens_df.select(col(key), F.col("term").alias("a"), ahead.alias("near"))
-    pairs = near.select(col(key), "a", F.explode("near").alias("b")).where("a <> b")
-    edges = pairs.groupBy(col(key), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").cast("double").alias("w"))
-    both = edges.unionByName(edges.select(col(key), F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-    out_w = both.groupBy(col(key), "a").agg(F.sum("w").alias("out"))
-    flow = both.join(out_w, [key, "a"]).select(col(key), "a", "b", (F.col("w") / F.col("out")).alias("p")).checkpoint()
-    rank = flow.select(col(key), F.col("a").alias("term")).distinct().withColumn("score", F.lit(1.0))
-    for i in range(rounds):
-        got = flow.join(rank.withColumnRenamed("term", "a"), [key, "a"]).groupBy(col(key), F.col("b").alias("term")).agg((F.lit(1 - damping) + damping * F.sum(F.col("p") * F.col("score"))).alias("score"))
-        rank = got.checkpoint() if (i + 1) % cut_every == 0 and i + 1 < rounds else got
-    top = rank.groupBy(col(key)).agg(F.max("score").alias("__m"))
-    s = rank.join(top, key).withColumn("score", F.round(F.col("score") / F.col("__m"), 9)).drop("__m")
-    order = Window.partitionBy(col(key)).orderBy(F.desc("score"), "term")
-    return s.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k)
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("term", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rank", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(i, t, s, r) for i, ws in enumerate(b.column("__w").to_pylist()) if ws for r, (t, s) in enumerate(rank_graph(ws, span, rounds, damping)[:k], 1)]
+            take = pa.array([r[0] for r in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(key).take(take), *(pa.array([r[j] for r in rows], t) for j, t in ((1, pa.string()), (2, pa.float64()), (3, pa.int64())))], names=schema.names)
+
+    return docs.select(col(key), words.alias("__w")).where(F.size("__w") > 1).mapInArrow(run, schema)

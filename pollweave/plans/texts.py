@@ -138,9 +138,8 @@ def html_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def textrank(spark: SparkSession, d: str) -> DataFrame:
-    t = _docs(spark, d).select("doc_id", F.posexplode(S.tokens("text")).alias("pos", "term"))
-    t = t.where(~S.is_single_alnum(F.col("term")) & ~F.col("term").isin(*STOP))
-    return K.textrank(t, "doc_id")
+    words = F.filter(S.tokens("text"), lambda x: ~S.is_single_alnum(x) & ~x.isin(*STOP))
+    return K.textrank(_docs(spark, d), "doc_id", words)
 
 
 @query()
