@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,16 +94,8 @@ def infobox_of(markup: str | None, label: str) -> str | None:
 
 
 def html_text_exact(markup: str | Column) -> Column:
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(text_of)
-
-    return run(col(markup))
+    return F.udf(text_of, "string", useArrow=True)(col(markup))
 
 
 def infobox(markup: str | Column, label: str) -> Column:
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: infobox_of(x, label))
-
-    return run(col(markup))
+    return F.udf(lambda x: infobox_of(x, label), "string", useArrow=True)(col(markup))

@@ -14,7 +14,7 @@ def pd_div(a: str | Column, b: str | Column) -> Column:
     """Float division in which x/0 is infinite with the sign of x, and 0/0 or a null side is null."""
     a, b = col(a).cast("double"), col(b).cast("double")
     inf = F.lit(float("inf"))
-    return F.when(b != 0, a / F.when(b != 0, b)).when(a > 0, inf).when(a < 0, -inf)
+    return F.when(b != 0, a / F.when(b != 0, b)).when((b == 0) & (a > 0), inf).when((b == 0) & (a < 0), -inf)
 
 
 def nan_to_null(c: str | Column) -> Column:
