@@ -124,15 +124,22 @@ def _edit(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _reach(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """``(k, e)``: the first ``k`` letters of ``a`` stand at the start of ``b`` with ``e`` changes at best."""
-    out = []
+    """``(k, e)``: the first ``k`` letters of ``a`` stand at the start of ``b`` with ``e`` changes at best.
+
+    Only ends that a passage may have: the last letter is unchanged, and there are three unchanged ones
+    for each change (a change at the very end is no part of a passage).
+    """
+    out, least = [(0, 0)], 0
     row = list(range(len(b) + 1))
     bl = b.tolist()
     for i, c in enumerate(a.tolist(), 1):
         last, row[0] = row[0], i
         for j, d in enumerate(bl, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
-        out.append((i, min(row)))
+        now = min(row)
+        if now == least and i >= 4 * now:
+            out.append((i, now))
+        least = now
     return out
 
 
@@ -216,9 +223,9 @@ def passage(dx: np.ndarray, ix: np.ndarray, found: list[tuple[int, int, int]], l
             a0, b0, _ = ts[path[s]]
             a1, b1, n1 = ts[path[e]]
             if (s, 0) not in grown:
-                grown[s, 0] = [(0, 0), *_reach(ix[max(0, b0 - reach) : b0][::-1], dx[max(0, a0 - reach - 2) : a0][::-1])]
+                grown[s, 0] = _reach(ix[max(0, b0 - reach) : b0][::-1], dx[max(0, a0 - reach - 2) : a0][::-1])
             if (e, 1) not in grown:
-                grown[e, 1] = [(0, 0), *_reach(ix[b1 + n1 : b1 + n1 + reach], dx[a1 + n1 : a1 + n1 + reach + 2])]
+                grown[e, 1] = _reach(ix[b1 + n1 : b1 + n1 + reach], dx[a1 + n1 : a1 + n1 + reach + 2])
             for kl, el in grown[s, 0]:
                 for kr, er in grown[e, 1]:
                     m = int(n[s, e]) + kl + kr
