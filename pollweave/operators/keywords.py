@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -125,3 +126,16 @@ def textrank(docs: DataFrame, key: str, words: Column, k: int = 20, span: int =
             yield pa.RecordBatch.from_arrays([b.column(key).take(take), *(pa.array([r[j] for r in rows], t) for j, t in ((1, pa.string()), (2, pa.float64()), (3, pa.int64())))], names=schema.names)
 
     return docs.select(col(key), words.alias("__w")).where(F.size("__w") > 1).mapInArrow(run, schema)
+
+
+def contexts(docs: DataFrame, key: str, text: str, stop: DataFrame | None = None, k: int = 20) -> DataFrame:
+    """``(method, keyword, source)``: the ``k`` best terms of each document by four methods (repeats kept)."""
+    counts = term_counts(docs, key, text)
+    words = F.filter(tokens(text), lambda x: ~is_single_alnum(x))
+    by = {
+        "tfidf": tfidf(filtered(counts, "clusters", stop), key, k),
+        "textrank": textrank(docs, key, words, k),
+        "freq": top_terms(filtered(counts, "clusters", stop), key, k),
+        "lda": top_terms(filtered(counts, "lda", stop), key, k, ascending=True),
+    }
+    return reduce(DataFrame.unionByName, [d.select(F.lit(m).alias("method"), F.col("term").alias("keyword"), col(key).alias("source")) for m, d in by.items()])

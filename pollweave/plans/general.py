@@ -55,4 +55,31 @@ def p2_unified(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_flags": p1_flags, "p2_found": p2_found, "p2_versions": p2_versions, "p2_unified": p2_unified}
-SQL: dict[str, str] = {}
+
+
+def _values(pairs: list[tuple[str, str, str]]) -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    return ", ".join(f"({', '.join(map(quote, p))})" for p in pairs)
+
+
+def _drift_sql() -> str:
+    exact = [(m.book_kind, h, f) for m in drift.MIGRATIONS for h, f in m.headers().items()]
+    loose: dict[tuple[str, str], str] = {}
+    for k, h, f in exact:
+        loose.setdefault((k, drift.plain_header(h)), f)
+    plain = "lower(regexp_replace(translate(header, '（）', '()'), '[\\s\\x{3000}\\x{A0}]+', '', 'g'))"
+    return f"""with exact(kind, header, field) as (values {_values(exact)}), loose(kind, plain, field) as (values {_values([(k, h, f) for (k, h), f in loose.items()])}),
+    e as (select book, sheet_no, regexp_replace(book, '-\\d+$', '') as kind, j.key as header, j.type as kind_of from sheet_rows, json_each(record_json) j),
+    h as (select book, sheet_no, kind, header, max(case when kind_of in ('BIGINT', 'UBIGINT') then 0 when kind_of = 'DOUBLE' then 1 when kind_of = 'VARCHAR' then 2 when kind_of = 'ARRAY' then 3 when kind_of <> 'NULL' then 4 end) as type from e group by 1, 2, 3, 4),
+    p as (select *, case when instr({plain}, '(') > 1 then split_part({plain}, '(', 1) else {plain} end as plain from h),
+    f as (select p.book, p.sheet_no, p.header, p.type, coalesce(x.field, l.field, p.header) as field from p left join exact x on x.kind = p.kind and x.header = p.header left join loose l on l.kind = p.kind and l.plain = p.plain),
+    s as (select book, sheet_no, lag(sheet_no) over (partition by book order by sheet_no) as before from (select distinct book, sheet_no from f)),
+    c as (select f.*, before from f join s using (book, sheet_no) where before is not null),
+    b as (select f.book, s.sheet_no, f.header, f.type, f.field from f join s on s.book = f.book and s.before = f.sheet_no)
+    select book, sheet_no, header, 'added' as drift from c where not exists (select 1 from b where b.book = c.book and b.sheet_no = c.sheet_no and b.field = c.field)
+    union all select book, sheet_no, header, 'removed' from b where not exists (select 1 from c where b.book = c.book and b.sheet_no = c.sheet_no and b.field = c.field)
+    union all select c.book, c.sheet_no, c.header, 'renamed' from c join b on b.book = c.book and b.sheet_no = c.sheet_no and b.field = c.field where b.header <> c.header
+    union all select c.book, c.sheet_no, c.header, 'retyped' from c join b on b.book = c.book and b.sheet_no = c.sheet_no and b.field = c.field where b.type <> c.type"""
+
+
+SQL: dict[str, str] = {"p2_found": _drift_sql()}

@@ -290,6 +290,49 @@ def only_in_region_b(spark: SparkSession, d: str) -> DataFrame:
     return relate.only_in(table(spark, d, "music_votes_jp"), table(spark, d, "music_votes_cn"), "译名").withColumnRenamed("译名", "title")
 
 
+_MUSIC = """ent as (select "译名" as name, avg("票数") as v from char_votes_jp where "译名" is not null group by 1),
+zc as (select name, (v - (select avg(v) from ent)) / (select nullif(stddev_pop(v), 0) from ent) as zc from ent),
+sg as (select "所属角色" as f, cast("得票数" as double) as v from music_votes_jp),
+zs as (select f, (v - (select avg(v) from sg)) / (select nullif(stddev_pop(v), 0) from sg) as z from sg),
+mem as (select regexp_replace(unnest(string_split(f, '|')), '^[\\s\\x{3000}\\x{A0}]+|[\\s\\x{3000}\\x{A0}]+$', '', 'g') as name, z from zs),
+zm as (select name, avg(z) as zm, count(*) as n from mem where name <> '' group by 1),
+both_z as (select zc.name, coalesce(zc, 0) as zc, coalesce(zm, 0) as zm, cast(coalesce(n, 0) as bigint) as n from zc left join zm using (name))"""
+
+
+def _music(spark: SparkSession, d: str) -> DataFrame:
+    """Standard score of each character's votes and of the songs it appears in; 0 without songs."""
+    ent = _jp(spark, d).dropna(subset=["译名"]).groupBy(F.col("译名").alias("name")).agg(F.avg("票数").alias("v"))
+    songs = relate.zscore(table(spark, d, "music_votes_jp", "所属角色", "得票数"), "得票数", "z")
+    by = relate.average_by_member(songs, S.split_trim("所属角色", "|"), {"zm": "z"}).withColumnRenamed("member", "name")
+    return relate.outer_fill(relate.zscore(ent, "v", "zc").drop("v"), by, "name", 0, "left")
+
+
+@query(f"with {_MUSIC} select name, round(zc, 6) as zc, round(zm, 6) as zm, n, case when abs(zc) > 1 then 'first' else 'second' end as reason from both_z where (abs(zc) > 1) <> (abs(zm) > 1)")
+def character_music_outliers(spark: SparkSession, d: str) -> DataFrame:
+    out = relate.xor_outliers(_music(spark, d), "zc", "zm", 1.0)
+    return out.select("name", F.round("zc", 6).alias("zc"), F.round("zm", 6).alias("zm"), "n", S.outlier_reason("zc", "zm", 1.0).alias("reason"))
+
+
+@query(f"with {_MUSIC}, q as (select round(zc, 9) as zc, round(zm, 9) as zm from both_z), r as (select rank() over (order by zc) + (count(*) over (partition by zc) - 1) / 2.0 as rx, rank() over (order by zm) + (count(*) over (partition by zm) - 1) / 2.0 as ry from q) select round(corr(rx, ry), 6) as rho, cast(count(*) as bigint) as n from r")
+def character_music_spearman(spark: SparkSession, d: str) -> DataFrame:
+    # rounded as the grouping of equal scores must not depend on the order of summing
+    m = _music(spark, d).select(F.round("zc", 9).alias("zc"), F.round("zm", 9).alias("zm"))
+    return relate.spearman(m, "zc", "zm").select(F.round("rho", 6).alias("rho"), "n")
+
+
+@query(
+    """with u as (select 'jp' as region, "译名" as title, cast("得票数" as double) as v from music_votes_jp union all select 'cn', "译名", cast("票数" as double) from music_votes_cn),
+    m as (select region, avg(v) as a, stddev_pop(v) as s from u group by 1), z as (select region, title, (v - a) / nullif(s, 0) as z from u join m using (region)),
+    p as (select title, avg(z) filter (where region = 'cn') as cn, avg(z) filter (where region = 'jp') as jp from z where title is not null and z is not null group by 1)
+    select title, round(coalesce(cn, 0), 6) as cn, round(coalesce(jp, 0), 6) as jp, round(coalesce(cn, 0) - coalesce(jp, 0), 6) as difference from p"""
+)
+def zscore_region_diff(spark: SparkSession, d: str) -> DataFrame:
+    side = lambda t, v, r: table(spark, d, t, "译名", v).select(F.lit(r).alias("region"), F.col("译名").alias("title"), F.col(v).cast("double").alias("v"))
+    z = relate.zscore(side("music_votes_jp", "得票数", "jp").unionByName(side("music_votes_cn", "票数", "cn")), "v", "z", ("region",))
+    p = relate.pivot_mean(z, ["title"], "region", ["cn", "jp"], "z").fillna(0.0, ["cn", "jp"])
+    return p.select("title", F.round("cn", 6).alias("cn"), F.round("jp", 6).alias("jp"), F.round(F.col("cn") - F.col("jp"), 6).alias("difference"))
+
+
 # tags
 
 

@@ -141,6 +141,11 @@ def textrank(spark: SparkSession, d: str) -> DataFrame:
     return K.textrank(_docs(spark, d), "doc_id", words)
 
 
+@query()
+def keyword_contexts(spark: SparkSession, d: str) -> DataFrame:
+    return K.contexts(_docs(spark, d), "doc_id", "text", _stop(spark))
+
+
 @query()
 def lda_topics(spark: SparkSession, d: str) -> DataFrame:
     from pollweave.operators import topics

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -40,3 +41,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(at)
     return at
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` rows (counted now); else as it is, and Spark
+    joins it by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
