@@ -83,10 +83,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PAIRS = T.StructType([T.StructField("code", T.LongType()), T.StructField("n", T.LongType())])
 
 
-def item_counts(baskets: DataFrame) -> tuple[DataFrame, int]:
-    """``(item, n_item)`` and the number of records, of ``baskets(items array<string>)`` with distinct items."""
-    n = baskets.where(F.size("items") > 0).count()
-    return baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n_item")), n
+def item_counts(baskets: DataFrame) -> DataFrame:
+    """``(item, n_item)`` of ``baskets(items array<string>)`` with distinct items; the row with a null item
+    has the number of records, so both come from one pass."""
+    marked = F.concat(F.array(F.lit(None).cast("string")), "items")
+    return baskets.where(F.size("items") > 0).select(F.explode(marked).alias("item")).groupBy("item").agg(F.count("*").alias("n_item"))
 
 
 def pairs(baskets: DataFrame, min_count: int = MIN_COUNT, min_per_mille: float = MIN_PER_MILLE) -> DataFrame:
@@ -99,12 +100,17 @@ def pairs(baskets: DataFrame, min_count: int = MIN_COUNT, min_per_mille: float =
     """
     spark = baskets.sparkSession
     clean = baskets.select(F.array_distinct(F.filter(F.coalesce("items", F.array().cast("array<string>")), lambda x: x.isNotNull())).alias("items"))
-    counts, n = item_counts(clean)
-    often = counts.where((F.col("n_item") >= min_count) & (1000 * F.col("n_item") >= F.lit(min_per_mille) * n))
-    # ids follow the code points, so the smaller id of a pair is item_a
-    n_often = often.count()
-    if n_often <= BROADCAST_ITEMS:
-        rows = sorted(often.collect(), key=lambda r: r[0].encode())
+    # the items that can be in a pair, and the number of records; ids follow the code points, so the smaller is item_a
+    counts = item_counts(clean)
+    n_of = counts.where("item is null").select(F.col("n_item").alias("__n"))
+    often = counts.where("item is not null").crossJoin(F.broadcast(n_of)).where((F.col("n_item") >= min_count) & (1000 * F.col("n_item") >= F.lit(min_per_mille) * F.col("__n")))
+    rows = often.limit(BROADCAST_ITEMS + 1).collect()
+    if not rows:
+        return spark.createDataFrame([], "item_a string, item_b string, n_a bigint, n_b bigint, n_ab bigint, n bigint, lift double, odds_ratio double, log_odds double")
+    n = rows[0]["__n"]
+    often = often.drop("__n")
+    if len(rows) <= BROADCAST_ITEMS:
+        rows.sort(key=lambda r: r[0].encode())
         ids = spark.createDataFrame([(r[0], i, r[1]) for i, r in enumerate(rows)], "item string, id bigint, n_item bigint")
         lookup = spark.sparkContext.broadcast({r[0]: i for i, r in enumerate(rows)})
 
@@ -118,7 +124,7 @@ def pairs(baskets: DataFrame, min_count: int = MIN_COUNT, min_per_mille: float =
     else:
         from pyspark.sql import Window
 
-        ids = often.withColumn("__p", F.spark_partition_id())  # dense ids without one sorting task
+        # dense ids without one sorting task
         ranged = often.repartitionByRange("item").sortWithinPartitions("item").withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
         size = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
         before = size.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
