@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pollweave.session import broadcast_if_small
+
 # Groups of code points and strings that look alike at reading size. The first member
 # represents the group unless the reference column uses another more often.
 GROUPS = (
@@ -149,6 +151,9 @@ def found(df: DataFrame, column: str, keys: list[str], reference: DataFrame, ref
     folder = Folder(frequencies(reference, ref_column))
     names = folded(reference, ref_column, folder).where("form <> ''")
     forms = names.groupBy("form").agg(F.min("value").alias("looks_like"))
-    values = folded(df, column, folder).where("form <> ''")
-    hits = values.join(names.select("value"), "value", "left_anti").join(forms, "form").select("value", "looks_like")
-    return df.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{column}`").alias("__value")).join(hits.withColumnRenamed("value", "__value"), "__value").select(*keys, "looks_like")
+    # rows with a reference value are no cases; they leave before anything is shuffled
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{column}`").alias("__value")).where("__value is not null")
+    rows = rows.join(broadcast_if_small(reference.select(F.col(f"`{ref_column}`").alias("__value")).distinct()), "__value", "left_anti")
+    values = folded(rows, "__value", folder).where("form <> ''")
+    hits = values.join(broadcast_if_small(forms), "form").select(F.col("value").alias("__value"), "looks_like")
+    return rows.join(hits, "__value").select(*keys, "looks_like")
