@@ -26,7 +26,9 @@ from pyspark.sql import types as T
 LANGS = ("zh", "ja", "en", "ko", "fr", "de")
 NONE = len(LANGS)
 #: Documents of each label that the word scores are learned from, at most.
-SAMPLE = 1200
+SAMPLE = 400
+#: Length up to which documents are sampled.
+SAMPLE_CHARS = 20_000
 SWITCH = 5.0
 CHUNK = 3_000_000
 #: Evidence (log odds against the document's main language) and letters that a line needs to differ.
@@ -111,6 +113,7 @@ class Words:
             n = self.size[lat]
             at = np.repeat(self.start[lat] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
             x = c[at]
+            x = np.where(x >= 0xFF21, x - 0xFEE0, x)  # full width
             upper = (x >= 65) & (x <= 90) | (x >= 0xC0) & (x <= 0xDE)
             x = np.where(upper, x + 32, x).astype(np.uint64)
             off = np.minimum(np.arange(len(at)) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n), 63)
@@ -200,7 +203,7 @@ class Model:
         if lat.any() and len(self.keys):
             k = np.searchsorted(self.keys, w.key[lat])
             k[k == len(self.keys)] = 0
-            s = self.scores[k] * (self.keys[k] == w.key[lat])[:, None]
+            s = self.scores[k] * ((self.keys[k] == w.key[lat]) & (w.size[lat] > 1))[:, None]  # single letters also number choices
             known = np.abs(s).max(axis=1) > 0.7
             e[lat] += np.where(known, -1.0, 0.0)[:, None].astype(np.float32)
             idx = np.flatnonzero(lat)
@@ -316,17 +319,26 @@ def _sure(margin: np.ndarray, words: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin / (1 + np.sqrt(np.maximum(words, 1))), -30, 30)))
 
 
-def trained(docs: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE) -> Model:
-    """A model of at most ``sample`` documents of each language, taken by a hash of their key, whole texts."""
-    d = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), F.lower(F.split(F.trim(f"`{label}`"), "[-_ ]")[0]).alias("l")).where("t <> ''")
-    texts, labels = [], []
-    for lang, names in ALIASES.items():
-        if lang in ("ko",):
-            continue  # its script tells it
-        for r in d.where(F.col("l").isin(names.split())).orderBy(F.xxhash64("k"), "k").limit(sample).select("t").toLocalIterator():
-            texts.append(r["t"])
-            labels.append(lang)
-    return Model.fit(texts, labels)
+def trained(docs: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE, longest: int = SAMPLE_CHARS) -> Model:
+    """A model of at most ``sample`` documents of each language, taken by a hash of their key, whole texts.
+
+    Labels are counted first (the texts are not read for that); then a share of each language's documents
+    that gives about the wanted number is taken by hash, so nothing is sorted or shuffled and what comes
+    to the driver is bounded by ``sample`` and ``longest``, the length up to which texts are sampled.
+    """
+    l = F.lower(F.split(F.trim(f"`{label}`"), "[-_ ]")[0])
+    lang = F.coalesce(*[F.when(l.isin(names.split()), k) for k, names in ALIASES.items() if k != "ko"])  # its script tells Korean
+    d = docs.select(F.xxhash64(f"`{key}`").alias("h"), F.col(f"`{text}`").alias("t"), lang.alias("l"))
+    counts = {r["l"]: r["n"] for r in d.where("l is not null").groupBy("l").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return Model.fit([], [])
+    cell = F.pmod(F.col("h"), F.lit(1 << 30))
+    wanted = [F.when((F.col("l") == k) & (cell < int(min(1.0, (1.3 * sample + 30) / n) * (1 << 30))), 1) for k, n in counts.items()]
+    rows = d.where((F.length("t") <= longest) & (F.col("t") != "") & F.coalesce(*wanted).isNotNull()).collect()
+    taken: dict[str, list] = {}
+    for r in sorted(rows, key=lambda r: r["h"]):
+        taken.setdefault(r["l"], []).append(r["t"])
+    return Model.fit([t for v in taken.values() for t in v[:sample]], [k for k, v in taken.items() for _ in v[:sample]])
 
 
 def _labelled(batches: list[pa.RecordBatch], text: str, model: Model) -> Iterator[tuple[np.ndarray, ...]]:

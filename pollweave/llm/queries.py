@@ -58,6 +58,12 @@ def p6_odds(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(spark, d).select("src", "item_a", "item_b", "n_a", "n_b", "n_ab", "n", F.round("lift", 6).alias("lift"), F.round("odds_ratio", 6).alias("odds_ratio"))
 
 
+@query
+def p6_tag_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of tags alone, with exact counts."""
+    return cooccur.pairs(_baskets(spark, d)["char_tags"]).select("item_a", "item_b", "n_a", "n_b", "n_ab", "n")
+
+
 # problem 7: frequency of every distinct term
 
 
@@ -94,6 +100,11 @@ n as (select src, count(distinct record) as n from both_src group by src),
 c as (select src, term, cast(count(*) as bigint) as occurrences, cast(count(distinct record) as bigint) as records from both_src group by src, term),
 marks as (select src, term, occurrences, records, case when records < 3 then 'rare' when records > n * 0.25 then 'common' end as mark from c join n using (src))
 """
+SQL["p6_tag_pairs"] = f"""
+with t as (select distinct record, term from (select entry_id as record, {_TRIM("unnest(string_split_regex(keywords, '[、；]'))")} as term from char_tags) where term is not null),
+n as (select cast(count(distinct record) as bigint) as n from t), c as (select term, cast(count(*) as bigint) as k from t group by 1),
+p as (select a.term as item_a, b.term as item_b, cast(count(*) as bigint) as n_ab from t a join t b on a.record = b.record and a.term < b.term group by 1, 2)
+select item_a, item_b, ca.k as n_a, cb.k as n_b, n_ab, n from p join c ca on ca.term = item_a join c cb on cb.term = item_b, n where n_ab >= 4 and 1000 * n_ab >= n"""
 SQL["p7_found"] = _TERMS + "select src, term, mark from marks where mark is not null"
 SQL["p7_counts"] = _TERMS + "select src, term, occurrences, records, coalesce(mark, 'kept') as mark from marks"
 
