@@ -8,7 +8,7 @@ similarity of the rest is verified exactly. The best entry is kept, or none.
 
 Characters written in another variant (traditional for simplified and the like) are learned from the
 values themselves: a character that the reference does not use, but which stands almost always for the
-same reference character where a value and its best entry align, is rewritten and the join repeated.
+same reference character where a value and its best entry align, is rewritten before the join.
 
 Only distinct values are matched; rows get their entry by joining on the value.
 """
@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pollweave.llm.lookalike import Folder
+from pollweave.session import broadcast_if_small, checkpoint_dir
 
 THRESHOLD = 0.32
-LEARN_AT = 0.22
-LEARN_ROUNDS = 2
+#: Similarity from which variants are learned, and how often.
+LEARN_AT, LEARN_ROUNDS = 0.22, 2
 #: A variant is learned from at least so many values, of which this share agrees.
 VARIANT_SUPPORT, VARIANT_SHARE = 3, 0.7
 
@@ -147,7 +148,7 @@ def _best(values: DataFrame, refs: DataFrame, threshold: float) -> DataFrame:
     return best.select(F.col("l").alias("value"), "form", F.col("b.name").alias("ref_name"), F.col("b.ref_form").alias("ref_form"), (-F.col("b.j")).alias("jaccard"))
 
 
-def learn_variants(values: DataFrame, refs: DataFrame, support: int = VARIANT_SUPPORT, share: float = VARIANT_SHARE) -> dict[str, str]:
+def learn_variants(values: DataFrame, refs: DataFrame, at: float = LEARN_AT, support: int = VARIANT_SUPPORT, share: float = VARIANT_SHARE) -> dict[str, str]:
     """Characters foreign to the reference -> the reference character they stand for.
 
     Each value votes with all entries that tie as its most similar, where both are equally long and agree
@@ -155,35 +156,51 @@ def learn_variants(values: DataFrame, refs: DataFrame, support: int = VARIANT_SU
     A character counts if at least ``support`` values and ``share`` of those that hold it agree. The
     result has at most one entry for each foreign character.
     """
+    chars = lambda c: F.split(c, "")
+    alphabet = "".join(r["a"] for r in refs.select(F.explode(chars(F.col("form"))).alias("a")).distinct().collect())  # no longer than Unicode
+    values = values.where(F.translate("form", alphabet, "") != "")  # others cannot vote
     v = values.select(F.col("value").alias("id"), "tokens")
-    pairs = similarity_join(v, refs.select(F.struct("value", "whole").alias("id"), "tokens"), LEARN_AT)
+    pairs = similarity_join(v, refs.select(F.struct("value", "whole").alias("id"), "tokens"), at)
     top = Window.partitionBy("l")
     pairs = pairs.withColumn("m", F.max("jaccard").over(top)).where("jaccard >= m - 1e-9")
     pairs = pairs.join(values.select(F.col("value").alias("l"), "form"), "l").join(refs.select(F.struct("value", "whole").alias("r"), F.col("form").alias("ref_form")), "r")
-    chars = lambda c: F.split(c, "")
     z = pairs.where("length(form) = length(ref_form)").select("l", F.filter(F.arrays_zip(chars(F.col("form")).alias("a"), chars(F.col("ref_form")).alias("b")), lambda x: x["a"] != x["b"]).alias("z"), F.length("form").alias("n"))
     votes = z.where(F.size("z") * 5 <= F.col("n") * 3).select("l", F.explode("z").alias("z")).select("l", F.col("z.a").alias("a"), F.col("z.b").alias("b"))
-    known = refs.select(F.explode(chars(F.col("form"))).alias("a")).distinct()
-    votes = votes.join(known, "a", "left_anti").where("a <> '' and b <> ''").distinct()
+    votes = votes.where((F.col("a") != "") & (F.col("b") != "") & (F.translate("a", alphabet, "") != "")).distinct()
     total = votes.groupBy("a").agg(F.countDistinct("l").alias("n"))
     best = votes.groupBy("a", "b").agg(F.count("*").alias("k")).groupBy("a").agg(F.max_by("b", F.struct("k", "b")).alias("b"), F.max("k").alias("k")).join(total, "a")
     return {r["a"]: r["b"] for r in best.where((F.col("k") >= support) & (F.col("k") >= share * F.col("n"))).collect()}
 
 
-def mapped(values: DataFrame, reference: DataFrame, threshold: float = THRESHOLD, variants: dict[str, str] | None = None) -> DataFrame:
+def variants_of(values: DataFrame, refs: DataFrame, start: dict[str, str] | None = None) -> dict[str, str]:
+    """Variants learned in LEARN_ROUNDS rounds; ``start`` holds some known before (those of characters that
+    this reference uses itself are left out)."""
+    used = {r["a"] for r in refs.select(F.explode(F.split("form", "")).alias("a")).distinct().collect()}
+    out = {a: b for a, b in (start or {}).items() if a not in used}
+    for _ in range(LEARN_ROUNDS):
+        more = learn_variants(_sets(values, out, False, True), refs)
+        if not more:
+            break
+        out |= more
+    return out
+
+
+def mapped(values: DataFrame, reference: DataFrame, threshold: float = THRESHOLD, variants: dict[str, str] | None = None, known: dict[str, str] | None = None) -> DataFrame:
     """``(value, ref_name, jaccard)`` for each distinct non-null ``values.value``; null name if none is meant.
 
     ``reference.value`` holds the canonical names (repeats count once). Values that are a canonical name
-    letter for letter map to it. With ``variants=None`` they are learned first. Empty tables give empty
-    results; values without letters or digits are unmatched.
+    letter for letter map to it. With ``variants=None`` they are learned first; a dictionary ``known`` then
+    gives the learning a start and takes up what it finds. Empty tables give empty results; values without
+    letters or digits are unmatched.
     """
-    refs = _sets(reference, variants, True, False)
+    checkpoint_dir(values.sparkSession)
+    todo = values.select("value").where("value is not null").distinct().checkpoint()  # read by every round
+    refs = _sets(reference, None, True, False).checkpoint()
     if variants is None:
-        variants = {}
-        for _ in range(LEARN_ROUNDS):
-            variants |= learn_variants(_sets(values, variants, False, True), refs)
-        refs = _sets(reference, variants, True, False)
-    best = _best(_sets(values, variants, False, True), refs, threshold)
+        variants = variants_of(todo, refs, known)
+        if known is not None:
+            known |= variants
+    best = _best(_sets(todo, variants, False, True), refs, threshold).select("value", "ref_name", "jaccard")
     exact = reference.select("value").where("value is not null").distinct().withColumn("exact", F.lit(True))
-    out = values.select("value").where("value is not null").distinct().join(best.select("value", "ref_name", "jaccard"), "value", "left").join(exact, "value", "left")
+    out = todo.join(best, "value", "left").join(broadcast_if_small(exact), "value", "left")
     return out.select("value", F.when(F.col("exact"), F.col("value")).otherwise(F.col("ref_name")).alias("ref_name"), F.when(F.col("exact"), 1.0).otherwise(F.col("jaccard")).alias("jaccard"))

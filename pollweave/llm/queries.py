@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pollweave.llm import boilerplate, canonical, cooccur, langid, leakage, lookalike, termfreq
 from pollweave.operators import packed
+from pollweave.session import broadcast_if_small
 from pollweave.sources.tables import table
 
 QUERIES: dict = {}
@@ -138,14 +139,14 @@ _P5 = (("music_votes_cn", "song"), ("song_dim", "song"), ("char_votes_cn", "char
 def _entries(spark: SparkSession, d: str) -> DataFrame:
     """``(src, row_id, value, ref_name, ref_id, jaccard)`` of every row with a 译名 that is no entry itself."""
     canon = table(spark, d, "canon_names")
-    parts = []
+    parts, known = [], {}  # what the songs teach of characters' variants helps the names
     for kind in ("song", "char"):
         ref = canon.where(F.col("ref_kind") == kind).select(F.col("ref_name").alias("value"), "ref_id")
         rows = _union([table(spark, d, src, "row_id", "译名").select(F.lit(src).alias("src"), "row_id", F.col("译名").alias("value")) for src, k in _P5 if k == kind])
-        rows = rows.where("value is not null").join(F.broadcast(ref.select("value").distinct()), "value", "left_anti")
-        got = canonical.mapped(rows.select("value"), ref.select("value"))
+        rows = rows.where("value is not null").join(broadcast_if_small(ref.select("value").distinct()), "value", "left_anti")
+        got = canonical.mapped(rows.select("value"), ref.select("value"), known=known)
         ids = ref.groupBy(F.col("value").alias("ref_name")).agg(F.min("ref_id").alias("ref_id"))
-        got = got.join(F.broadcast(ids), "ref_name", "left")
+        got = got.join(broadcast_if_small(ids), "ref_name", "left")
         parts.append(rows.join(got, "value").select("src", "row_id", "value", "ref_name", "ref_id", "jaccard"))
     return _union(parts)
 
