@@ -121,12 +121,16 @@ class Folder:
 
 def frequencies(reference: DataFrame, column: str, groups: Iterable[str] = GROUPS) -> dict[str, int]:
     """How often each class member occurs in the reference column (as many rows as there are members)."""
-    members = [m for g in groups for m in g.split(" ")]
-    text = reference.select(F.coalesce(F.col(f"`{column}`"), F.lit("")).alias("t"))
-    count = lambda m: F.sum(((F.length("t") - F.length(F.replace(F.col("t"), F.lit(m), F.lit("")))) / len(m)).cast("bigint"))
-    aggs = [F.coalesce(count(m), F.lit(0)).alias(f"m{i}") for i, m in enumerate(members)]
-    row = text.agg(*aggs).first()
-    return {m: row[i] for i, m in enumerate(members)}
+    members = {m for g in groups for m in g.split(" ")}
+    text = reference.select(F.col(f"`{column}`").alias("t")).where("t <> ''")
+    single = sorted(m for m in members if len(m) == 1)
+    counts = text.select(F.explode(F.split("t", "")).alias("m")).where(F.col("m").isin(single)).groupBy("m").agg(F.count("*").alias("n"))
+    out = {m: 0 for m in members} | {r["m"]: r["n"] for r in counts.collect()}
+    longer = sorted(m for m in members if len(m) > 1)
+    if longer:
+        row = text.agg(*[F.coalesce(F.sum(((F.length("t") - F.length(F.replace(F.col("t"), F.lit(m), F.lit("")))) / len(m)).cast("bigint")), F.lit(0)) for m in longer]).first()
+        out |= dict(zip(longer, row, strict=True))
+    return out
 
 
 def folded(df: DataFrame, column: str, folder: Folder, out: str = "form") -> DataFrame:
