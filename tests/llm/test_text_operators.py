@@ -237,7 +237,13 @@ def test_page_content():
 
 def test_subject():
     assert boilerplate.subject_of(PAGE.split("\n")) == ("千纸一华", 5)
-    assert boilerplate.subject_of([""]) == ("", -1)
+    assert boilerplate.subject_of([""]) == ("", -1) and boilerplate.subject_of(["[编辑]"]) == ("", -1)
+
+
+@pytest.mark.parametrize("text", ["", "\n", "[编辑]", "返回顶部\n[编辑]", "概要", "概要\n", "大家都在看", "x", "。", "a < b", "\t　", "≪" * 5000])
+def test_odd_pages(text):
+    tree = boilerplate.trained()
+    assert len(tree.predict(boilerplate.features(text))) == text.count("\n") + 1
 
 
 def test_tree_learns_held_out_rows():
