@@ -259,3 +259,11 @@ def test_pages_table(spark):
     got = boilerplate.content_lines(df, "id", "text").collect()
     assert {r.id for r in got} == {1} and len(got) == 14
     assert boilerplate.content_lines(df.limit(0), "id", "text").count() == 0
+
+
+def test_labels_of_blocks(tmp_path):
+    from pollweave.llm import label_blocks
+
+    assert (np.flatnonzero(label_blocks.labels(PAGE)) + 1).tolist() == [6, 7, 9, 10, 11, 13, 14]
+    n = label_blocks.write_table([PAGE, PAGE], str(tmp_path / "t.csv"))
+    assert n == 16 and boilerplate.trained(tmp_path / "t.csv").predict(boilerplate.features(PAGE)).shape == (16,)
