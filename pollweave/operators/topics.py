@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -11,15 +11,36 @@ from pyspark.sql import functions as F
 from pollweave.functions.semantics import col
 
 
-def lda_topics(docs: DataFrame, key: str, words: Column, topics: int = 20, terms: int = 30, seed: int = 0, vocabulary: int = 20_000, rounds: int = 10) -> DataFrame:
-    """``(topic, rank, word, weight)``: the heaviest words of each topic (online variational LDA, priors 1/k)."""
+def topic_model(vectors: DataFrame, features: str, topics: int, rounds: int, seed: int):
+    """MLlib's model (JVM) after ``rounds`` passes of batch variational LDA over all of ``vectors``, fixed priors 1/topics.
+
+    ``pyspark.ml``'s LDA draws its documents with replacement, so even ``subsamplingRate=1.0`` leaves out about
+    a third of them in each pass; only the optimizer below it can turn that off. With a step of 1 (``kappa`` 0)
+    each pass replaces the topics, so a word's weights over all topics add up to its occurrences and 1.
+    """
+    jvm, prior = vectors.sparkSession._jvm, 1.0 / topics
+    step = jvm.org.apache.spark.mllib.clustering.OnlineLDAOptimizer().setMiniBatchFraction(1.0).setSampleWithReplacement(False).setKappa(0.0).setOptimizeDocConcentration(False)
+    lda = jvm.org.apache.spark.mllib.clustering.LDA().setK(topics).setMaxIterations(rounds).setSeed(seed).setDocConcentration(prior).setTopicConcentration(prior).setOptimizer(step)
+    pairs = getattr(getattr(jvm.org.apache.spark.ml.clustering, "LDA$"), "MODULE$")
+    return lda.run(pairs.getOldDataset(vectors._jdf, features))
+
+
+def lda_topics(docs: DataFrame, key: str, words: Column, topics: int = 20, terms: int = 30, seed: int = 0, rounds: int = 10) -> DataFrame:
+    """``(topic, rank, word, weight)``: the heaviest words of each topic (batch variational LDA, priors 1/k).
+
+    Every document counts in every pass and every word is in the vocabulary; the model holds topics x words numbers
+    in the driver and in each task.
+    """
     d = docs.select(col(key), words.alias("words")).where(F.size("words") > 0)
-    vector = CountVectorizer(inputCol="words", outputCol="features", vocabSize=vocabulary).fit(d)
-    prior = 1.0 / topics
-    model = LDA(k=topics, optimizer="online", seed=seed, maxIter=rounds, docConcentration=[prior] * topics, topicConcentration=prior).fit(vector.transform(d))
-    vocab = d.sparkSession.createDataFrame(list(enumerate(vector.vocabulary)), "i int, word string")
-    t = model.describeTopics(terms).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
-    return t.select("topic", (F.col("rank") + 1).alias("rank"), F.col("t.termIndices").alias("i"), F.col("t.termWeights").alias("weight")).join(vocab, "i").select("topic", "rank", "word", "weight")
+    vector = CountVectorizer(inputCol="words", outputCol="features", vocabSize=2**31 - 1).fit(d)
+    vectors = vector.transform(d).select("features").persist()
+    try:
+        best = topic_model(vectors, "features", topics, rounds, seed).describeTopics(terms)
+    finally:
+        vectors.unpersist()
+    vocab = vector.vocabulary
+    rows = [(t, r, vocab[i], w) for t, x in enumerate(best) for r, (i, w) in enumerate(zip(x._1(), x._2(), strict=True), 1)]
+    return d.sparkSession.createDataFrame(rows, "topic int, rank int, word string, weight double")
 
 
 def keyword_clusters(keywords: DataFrame, keyword: str, source: str, k: int = 5, seed: int = 0) -> DataFrame:
