@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -204,9 +205,14 @@ def changes(schemas: DataFrame) -> DataFrame:
     return v.select("book", "sheet_no", F.explode(F.expr(expr)).alias("c")).select("book", "sheet_no", "c.*")
 
 
+def _entries(text: Column) -> Column:
+    """The entries of a value that is a JSON list, else null."""
+    return F.when(text.startswith("["), F.from_json(text, "array<string>"))
+
+
 def _cast(text: Column, kind: str) -> Column:
     """Text of a JSON value to a type: lists give their first entry, ``约``, units, blanks and % are read away."""
-    first = F.when(text.startswith("["), F.get_json_object(text, "$[0]")).otherwise(text)
+    first = F.when(_entries(text).isNotNull(), F.get(_entries(text), F.lit(0))).otherwise(text)
     if kind == "string":
         return F.regexp_replace(first, r"(?U)^\s+|\s+$", "")
     num = F.regexp_extract(F.regexp_replace(first, ",", ""), r"[-+]?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?", 0)
@@ -215,28 +221,71 @@ def _cast(text: Column, kind: str) -> Column:
     return val.try_cast("bigint") if kind == "bigint" else val
 
 
+def _objects(records: DataFrame) -> DataFrame:
+    return records.select("rec_id", "book", "sheet_no", "row_no", F.from_json("record_json", "map<string,string>").alias("__m")).where("__m is not null")
+
+
+def _routed(records: DataFrame, migration: Migration) -> DataFrame:
+    """The records of one kind with ``__m`` (header -> text), ``__f`` (header -> field) and ``__won`` (field -> header
+    that gives its value: the one named like the field if it has a value, else the first that has one)."""
+    one = _objects(records.where(book_kind(F.col("book")) == migration.book_kind))
+    # keys are resolved once per record
+    routed = one.withColumn("__f", F.map_from_entries(F.expr("transform(map_entries(__m), e -> struct(e.key as key, e.key as value))")))
+    routed = routed.withColumn("__f", F.transform_values("__f", lambda k, v: resolve(F.lit(migration.book_kind), k, (migration,))))
+    order = lambda r, h: F.struct(F.try_element_at("__m", h).isNull().alias("n"), (h != F.lit(r.name)).alias("o"), h.alias("h"))
+    heads = lambda r: F.map_keys(F.map_filter("__f", lambda k, v: v == F.lit(r.name)))
+    first = lambda r: F.array_min(F.transform(heads(r), lambda h: order(r, h)))["h"]
+    won = [x for r in migration.rules for x in (F.lit(r.name), first(r))]
+    return routed.withColumn("__won", F.create_map(*won) if won else F.expr("cast(map() as map<string,string>)"))
+
+
+def _unified(records: DataFrame, migration: Migration) -> DataFrame:
+    """:func:`unified` with the columns of :func:`_routed`."""
+    routed = _routed(records, migration)
+    fields = []
+    for r in migration.rules:
+        c = _cast(F.try_element_at("__m", F.try_element_at("__won", F.lit(r.name))), r.kind)
+        fields.append((F.coalesce(c, F.lit(r.default)) if r.default is not None else c).alias(r.name))
+    won = F.map_values("__won")
+    rest = F.transform_values(F.map_filter("__m", lambda k, v: F.exists(won, lambda h: h.eqNullSafe(k)) & (F.coalesce(F.size(_entries(v)), F.lit(0)) > 1)), lambda k, v: F.to_json(F.slice(_entries(v), 2, F.size(_entries(v)) - 1)))
+    extra = F.map_concat(F.map_filter("__m", lambda k, v: ~F.exists(won, lambda h: h.eqNullSafe(k))), rest)
+    return routed.select("rec_id", "book", "sheet_no", "row_no", *fields, extra.alias("extra"), "__f", "__won")
+
+
 def unified(records: DataFrame, migration: Migration) -> DataFrame:
     """All records of one kind in one table: ``rec_id, book, sheet_no, row_no``, the fields with their
-    types, and ``extra map<string,string>`` with everything that is no field of the kind.
+    types, and ``extra map<string,string>`` with everything that is in no field, by header: headers that mean
+    no field of the kind, the further headers of a field that has several, and, as a JSON list, what follows
+    the first entry of a list.
 
     A narrow plan: each record is routed by its own keys, so no file needs to be looked up. Missing
     fields take the rule's default; values that cannot be read as the type become null. Repeated
     records stay repeated. Records that are no JSON object give no row.
     """
-    one = records.where(book_kind(F.col("book")) == migration.book_kind).select("rec_id", "book", "sheet_no", "row_no", F.from_json("record_json", "map<string,string>").alias("__m")).where("__m is not null")
-    known = migration.headers()
-    back: dict[str, list[str]] = {}
-    for h, f in known.items():
-        back.setdefault(f, []).append(h)
-    kind = F.lit(migration.book_kind)
-    # keys are resolved once per record; the exact header wins where two keys mean one field
-    routed = one.withColumn("__f", F.map_from_entries(F.expr("transform(map_entries(__m), e -> struct(e.key as key, e.key as value))")))
-    routed = routed.withColumn("__f", F.transform_values("__f", lambda k, v: resolve(kind, k, (migration,))))
-    pick = lambda f: F.coalesce(F.try_element_at("__m", F.lit(f)), F.get(F.map_values(F.map_filter("__m", lambda k, v: F.try_element_at(F.col("__f"), k) == F.lit(f))), F.lit(0)))
-    fields = []
-    for r in migration.rules:
-        c = _cast(pick(r.name), r.kind)
-        fields.append((F.coalesce(c, F.lit(r.default)) if r.default is not None else c).alias(r.name))
-    names = [r.name for r in migration.rules]
-    extra = F.map_filter("__m", lambda k, v: ~F.try_element_at(F.col("__f"), k).isin(names))
-    return routed.select("rec_id", "book", "sheet_no", "row_no", *fields, extra.alias("extra"))
+    return _unified(records, migration).drop("__f", "__won")
+
+
+def long_form(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -> DataFrame:
+    """``(rec_id, kind, book, sheet_no, row_no, field, value)``: every value of every record as text.
+
+    A row for each field of the kind, value null where the record has none; a row for each further entry of a
+    list; a row for each other header, under the field it means, or under itself if another header of the
+    record gives that field. Kinds without rules have a row for each header.
+    """
+    keys = ["rec_id", "kind", "book", "sheet_no", "row_no"]
+    pair = lambda f, v: F.struct(f.alias("field"), v.alias("value"))
+    parts = []
+    for m in migrations:
+        names = [r.name for r in m.rules]
+        fields = F.array(*[pair(F.lit(n), F.col(f"`{n}`").cast("string")) for n in names]) if names else F.expr("cast(array() as array<struct<field string, value string>>)")
+
+        def other(e: Column) -> Column:
+            means, head, text = F.try_element_at("__f", e["key"]), e["key"], e["value"]
+            won = F.exists(F.map_values("__won"), lambda h: h.eqNullSafe(head))
+            return F.when(won, F.transform(_entries(text), lambda x: pair(means, x))).otherwise(F.array(pair(F.when(means.isin(names), head).otherwise(means), text)))
+
+        more = F.flatten(F.transform(F.map_entries("extra"), other))
+        parts.append(_unified(records, m).select("rec_id", F.lit(m.book_kind).alias("kind"), "book", "sheet_no", "row_no", F.explode(F.concat(fields, more)).alias("p")).select(*keys, "p.*"))
+    kind = book_kind(F.col("book"))
+    rest = _objects(records.where(~F.coalesce(kind.isin([m.book_kind for m in migrations]), F.lit(False))))
+    return reduce(DataFrame.unionByName, [*parts, rest.select("rec_id", kind.alias("kind"), "book", "sheet_no", "row_no", F.explode("__m").alias("field", "value"))])

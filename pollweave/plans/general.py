@@ -44,14 +44,8 @@ def p2_versions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_unified(spark: SparkSession, d: str) -> DataFrame:
-    """The consistent tables of all kinds in long form (one row per record and field)."""
-    recs = table(spark, d, "sheet_rows", "rec_id", "book", "sheet_no", "row_no", "record_json")
-    parts = []
-    for m in drift.MIGRATIONS:
-        u = drift.unified(recs, m)
-        pairs = F.explode(F.array(*[F.struct(F.lit(r.name).alias("field"), F.col(f"`{r.name}`").cast("string").alias("value")) for r in m.rules]))
-        parts.append(u.select("rec_id", F.lit(m.book_kind).alias("kind"), "book", "sheet_no", "row_no", pairs.alias("p")).select("rec_id", "kind", "book", "sheet_no", "row_no", "p.field", "p.value"))
-    return reduce(DataFrame.unionByName, parts)
+    """The consistent tables of all kinds in long form, with every value read (see :func:`drift.long_form`)."""
+    return drift.long_form(table(spark, d, "sheet_rows", "rec_id", "book", "sheet_no", "row_no", "record_json"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_flags": p1_flags, "p2_found": p2_found, "p2_versions": p2_versions, "p2_unified": p2_unified}

@@ -56,3 +56,29 @@ def test_empty(spark):
 
 def test_plain_header():
     assert drift.plain_header("票 数（张）") == "票数" and drift.plain_header("RANK ") == "rank"
+
+
+def test_long_form_has_every_value(spark):
+    rows = [
+        ("vote_music_jp-1", 1, 1, {"排名": 1, "票数": 6, "得票数": 5, "译 名": ["a", "旧译", "暂"], "备注": "x", "新": 1.5}),
+        ("vote_music_jp-1", 1, 2, {"得票数": None, "票数": 7, "曲目": "[注]", "备 注": None}),
+        ("other-1", 1, 1, {"Ａ ": 1, "b": ["c", "d"]}),
+        ("other-1", 1, 2, "no json"),
+    ]
+    got = {}
+    for r in drift.long_form(_records(spark, rows)).collect():
+        got.setdefault((r.kind, r.row_no), []).append((r.field, r.value))
+    none = [("上回名次", None), ("本名票数", None), ("评论数", None)]
+    assert sorted(got["vote_music_jp", 1], key=str) == sorted([*none, ("排名", "1"), ("得票数", "5"), ("票数", "6"), ("曲目", None), ("译名", "a"), ("译名", "旧译"), ("译名", "暂"), ("备注", "x"), ("新", "1.5")], key=str)
+    assert sorted(got["vote_music_jp", 2], key=str) == sorted([*none, ("排名", None), ("得票数", "7"), ("得票数", None), ("曲目", "[注]"), ("译名", None), ("备注", None)], key=str)
+    assert got["other", 1] == [("Ａ ", "1"), ("b", '["c","d"]')] and len(got) == 3
+    u = drift.unified(_records(spark, rows[:1]), next(m for m in drift.MIGRATIONS if m.book_kind == "vote_music_jp")).first()
+    assert u["译名"] == "a" and u["extra"] == {"票数": "6", "译 名": '["旧译","暂"]', "备注": "x", "新": "1.5"}
+
+
+def test_query_has_every_value(spark, tmp_path):
+    from pollweave.plans import general
+
+    _records(spark, [("vote_music_jp-1", 1, 1, {"排名": 1, "备注": "x"}), ("other-1", 1, 1, {"a": 1})]).write.parquet(str(tmp_path / "sheet_rows.parquet"))
+    got = {(r.kind, r.field, r.value) for r in general.p2_unified(spark, str(tmp_path)).collect()}
+    assert {("vote_music_jp", "排名", "1"), ("vote_music_jp", "备注", "x"), ("other", "a", "1")} <= got
