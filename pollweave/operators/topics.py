@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pollweave.functions.semantics import col
+from pollweave.operators.keywords import matrix
 
 
 def topic_model(vectors: DataFrame, features: str, topics: int, rounds: int, seed: int):
@@ -43,13 +44,17 @@ def lda_topics(docs: DataFrame, key: str, words: Column, topics: int = 20, terms
     return d.sparkSession.createDataFrame(rows, "topic int, rank int, word string, weight double")
 
 
-def keyword_clusters(keywords: DataFrame, keyword: str, source: str, k: int = 5, seed: int = 0) -> DataFrame:
-    """``(keyword, cluster)``: K-means over the counts of each keyword by source. The sources are the vector's
-    dimensions, so they must be few (methods, entries of one analysis); one cluster for each keyword."""
-    names = sorted(r[0] for r in keywords.select(col(source).cast("string")).dropna().distinct().limit(100_001).collect())
-    if len(names) > 100_000:
-        raise ValueError("more than 100000 sources: cluster a projection of them")
-    counts = keywords.dropna(subset=[keyword, source]).groupBy(col(keyword)).agg(*[F.sum(F.when(col(source).cast("string") == n, 1).otherwise(0)).cast("double").alias(f"s{i}") for i, n in enumerate(names)])
-    v = counts.select(col(keyword), array_to_vector(F.array(*[f"s{i}" for i in range(len(names))])).alias("features"))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(v)
-    return model.transform(v).select(col(keyword), "cluster")
+def keyword_clusters(keywords: DataFrame, keyword: str, source: str, k: int = 5, seed: int = 0, rounds: int = 300) -> DataFrame:
+    """``(keyword, cluster)``: K-means over the counts of each keyword by source (the entries or runs it comes from),
+    until the centres stand still or for ``rounds`` rounds. Vectors are sparse; a keyword's own counts and the
+    ``k`` centres, each as long as there are sources, must fit a task. One cluster for each keyword."""
+    cells = matrix(keywords, keyword, source)
+    width = keywords.dropna(subset=[keyword, source]).select(col(source)).distinct().count()
+    pairs = F.array_sort(F.collect_list(F.struct("column", F.col("n").cast("double").alias("n"))))
+    sparse = F.udf(lambda at, n: Vectors.sparse(width, at, n), VectorUDT())
+    rows = cells.groupBy(col(keyword)).agg(pairs.alias("c")).select(col(keyword), sparse("c.column", "c.n").alias("features")).persist()
+    try:
+        model = KMeans(k=k, seed=seed, maxIter=rounds, featuresCol="features", predictionCol="cluster").fit(rows)
+    finally:
+        rows.unpersist()
+    return model.transform(rows).select(col(keyword), "cluster")

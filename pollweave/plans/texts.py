@@ -158,5 +158,5 @@ def lda_topics(spark: SparkSession, d: str) -> DataFrame:
 def keyword_clusters(spark: SparkSession, d: str) -> DataFrame:
     from pollweave.operators import topics
 
-    k = table(spark, d, "keyword_clusters", "keyword", "method").withColumn("keyword", ustrip("keyword")).where("keyword <> ''")
-    return topics.keyword_clusters(k, "keyword", "method")
+    k = table(spark, d, "keyword_clusters", "keyword", "run_id").withColumn("keyword", ustrip("keyword")).where("keyword <> ''")
+    return topics.keyword_clusters(k, "keyword", "run_id")
