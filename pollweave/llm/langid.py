@@ -121,13 +121,21 @@ class Words:
             self.key[lat] = np.add.reduceat(x * power[off], np.concatenate([[0], np.cumsum(n)[:-1]]))
 
     def lines_without_language(self) -> np.ndarray:
-        """Lines that are lists of names (short pieces set apart by enumeration commas, no sentence) or addresses."""
+        """Lines that are lists of names or addresses.
+
+        Names are short pieces set apart by enumeration commas, no piece empty, without a sentence mark. The comma
+        stands in ordinary sentences too, so a line with more digits than pieces or any sign of prose (:data:`_PROSE`)
+        is none.
+        """
         c = self.codes
         per = lambda m: self.csum(m)[self.line_end] - self.csum(m)[self.line_start]
         comma = per((c == 0x3001) | (c == 0xFF64))
         sentence = per(np.isin(c, _SENTENCE))
         length = self.line_end - self.line_start
-        names = (comma > 0) & (sentence == 0) & (length <= 18 * (comma + 1))
+        names = (comma > 0) & (sentence == 0) & (length <= 18 * (comma + 1)) & (per(self._digits()) <= comma + 1)
+        for i in np.flatnonzero(names):
+            line = _INVISIBLE.sub("", c[self.line_start[i] : self.line_end[i]].tobytes().decode("utf-32-le", "surrogatepass"))
+            names[i] = all(p.strip() for p in _COMMA.split(line)) and not _PROSE.search(line)
         slashes = per((c == 0x2F) | (c == 0x40))
         blanks = per((c == 0x20) | (c == 0x3000))
         colon = per(c == 0x3A)
@@ -135,10 +143,24 @@ class Words:
         bracket = (length < 24) & np.isin(c[np.minimum(self.line_start, max(0, len(c) - 1))], [0x5B, 0x3E]) & (per(np.isin(c, np.arange(48, 58))) > 0) & (self.letters() < 6) if len(c) else address
         return names | address | bracket
 
+    def _digits(self) -> np.ndarray:
+        c = self.codes
+        return (c >= 0x30) & (c <= 0x39) | (c >= 0xFF10) & (c <= 0xFF19)
+
     def letters(self) -> np.ndarray:
         return np.bincount(self.line, self.size, self.n_lines).astype(np.int64) if len(self.line) else np.zeros(self.n_lines, np.int64)
 
 
+_COMMA = re.compile("[、､]")
+_INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
+#: Signs that a line is prose and no list of names: hiragana before ideographs or katakana (particles, verb endings),
+#: one hiragana after them at the end of a piece, verb and adjective endings there, を, Chinese function words, and
+#: a Latin word that begins small.
+_PROSE = re.compile(
+    "[ぁ-ゖ][\u3005\u3400-\u9fff\uf900-\ufaffァ-ヺ]|[\u3005\u3400-\u9fff\uf900-\ufaffァ-ヺー][ぁ-ゖ](?=\\s*(?:[、､]|$))|を"
+    "|(?:です|ます|でした|ました|ません|だった|った|いた|んだ|ない|たい|しい|いい|だね|だよ|よね|いる|ある|する|れる|って|けど|から|まで|すぎ|して|ので|のに)[ねよなぁー]?(?=\\s*(?:[、､]|$))"
+    "|[我你您他她它们們这這那哪是的了很也吗嗎吧呢啊还還没沒让讓被把给給]|喜[欢歡]|(?:^|[\\s、､])[a-zß-öø-ÿ]+(?=[\\s、､]|$)"
+)
 _SENTENCE = np.array([ord(x) for x in "。！？!?♪…～，.;；"], np.uint32)
 
 

@@ -267,3 +267,12 @@ def test_labels_of_blocks(tmp_path):
     assert (np.flatnonzero(label_blocks.labels(PAGE)) + 1).tolist() == [6, 7, 9, 10, 11, 13, 14]
     n = label_blocks.write_table([PAGE, PAGE], str(tmp_path / "t.csv"))
     assert n == 16 and boilerplate.trained(tmp_path / "t.csv").predict(boilerplate.features(PAGE)).shape == (16,)
+
+
+def test_enumeration_commas_in_prose():
+    from pollweave.llm.langid import Words
+
+    prose = ["このキャラ、大好きです", "かわいい、大好きです", "> き、タヨロガド派は澍悼太鼓に由来すると譲らなかった", "我喜欢灵梦、魔理沙", "ブレクトは5400票、籠さゆ", "、犁悼橋だけが残った", "for me、too"]
+    names = ["潮骨かおるこ、潮骨もえぎ", "千紙わかな、綿雲とびお、竜胆ちび5号", "貝鏡くちなし、ルミニ ペンドリ", "乌檐璃笑、夜汐二乃", "Orbit Parade、夢灘エドヤ、くりすorやえ", "千纸一华、雾岬椿姬、Quill Ox"]
+    assert Words(["\n".join(prose + names)]).lines_without_language().tolist() == [False] * len(prose) + [True] * len(names)
+    assert Words(prose).lines_without_language().tolist() == [False] * len(prose)
