@@ -123,20 +123,27 @@ def _edit(a: np.ndarray, b: np.ndarray) -> int:
     return row[-1]
 
 
-def _reach(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """``(k, e)``: the first ``k`` letters of ``a`` stand at the start of ``b`` with ``e`` changes at best.
+def _reach(a: np.ndarray, b: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """``(k, e)``: the first ``k`` letters of ``a`` stand at the start of ``b`` with ``e`` changes at best, ``most`` at most.
 
-    Only ends that a passage may have: the last letter is unchanged, and there are three unchanged ones
-    for each change (a change at the very end is no part of a passage).
+    Only ends that a passage may have: the last letter is unchanged, and there are three unchanged ones for
+    each change. Without that a shorter passage would grow over chance matches in the text beside it.
     """
     out, least = [(0, 0)], 0
-    row = list(range(len(b) + 1))
+    far = most + 1
     bl = b.tolist()
+    row = [min(j, far) for j in range(len(bl) + 1)]
     for i, c in enumerate(a.tolist(), 1):
-        last, row[0] = row[0], i
-        for j, d in enumerate(bl, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+        lo, hi = max(1, i - most), min(len(bl), i + most)  # farther from the diagonal there are more changes
+        new = [far] * len(row)
+        if i <= most:
+            new[0] = i
+        for j in range(lo, hi + 1):
+            new[j] = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (c != bl[j - 1]))
+        row = new
         now = min(row)
+        if now > most:
+            break
         if now == least and i >= 4 * now:
             out.append((i, now))
         least = now
@@ -176,10 +183,13 @@ def passage(dx: np.ndarray, ix: np.ndarray, found: list[tuple[int, int, int]], l
     """The longest run of item letters that stands in the document in sequence with at most ``share`` changed.
 
     ``found`` are tiles within ``dx`` and ``ix``. Tiles are chained in the order of both texts and the
-    letters between them compared exactly; ends are grown letter by letter where that decides.
+    letters between them compared exactly; ends are grown letter by letter where that decides. A passage of
+    three times ``least`` contains a shorter one of at least ``least`` within the share, so ends are grown to
+    that length and until the changes it may have are used up.
     """
     far = int(3 / share)
-    reach = 3 * q
+    reach = 3 * least
+    most = int(share * reach + 1e-9)
     ts = sorted(found, key=lambda t: (t[1], t[0]))
     score: list[float] = []
     before: list[int] = []
@@ -219,13 +229,13 @@ def passage(dx: np.ndarray, ix: np.ndarray, found: list[tuple[int, int, int]], l
         if best >= least:
             continue
         grown: dict[tuple[int, int], list] = {}
-        for s, e in np.argwhere(upper & (n + 2 * reach >= least) & (c <= share * (n + 2 * reach))).tolist():
+        for s, e in np.argwhere(upper & (n < reach) & (c <= most)).tolist():
             a0, b0, _ = ts[path[s]]
             a1, b1, n1 = ts[path[e]]
             if (s, 0) not in grown:
-                grown[s, 0] = _reach(ix[max(0, b0 - reach) : b0][::-1], dx[max(0, a0 - reach - 2) : a0][::-1])
+                grown[s, 0] = _reach(ix[max(0, b0 - reach) : b0][::-1], dx[max(0, a0 - reach - most) : a0][::-1], most)
             if (e, 1) not in grown:
-                grown[e, 1] = _reach(ix[b1 + n1 : b1 + n1 + reach], dx[a1 + n1 : a1 + n1 + reach + 2])
+                grown[e, 1] = _reach(ix[b1 + n1 : b1 + n1 + reach], dx[a1 + n1 : a1 + n1 + reach + most], most)
             for kl, el in grown[s, 0]:
                 for kr, er in grown[e, 1]:
                     m = int(n[s, e]) + kl + kr

@@ -276,3 +276,21 @@ def test_enumeration_commas_in_prose():
     names = ["潮骨かおるこ、潮骨もえぎ", "千紙わかな、綿雲とびお、竜胆ちび5号", "貝鏡くちなし、ルミニ ペンドリ", "乌檐璃笑、夜汐二乃", "Orbit Parade、夢灘エドヤ、くりすorやえ", "千纸一华、雾岬椿姬、Quill Ox"]
     assert Words(["\n".join(prose + names)]).lines_without_language().tolist() == [False] * len(prose) + [True] * len(names)
     assert Words(prose).lines_without_language().tolist() == [False] * len(prose)
+
+
+def test_passages_with_changes_at_the_ends():
+    from pollweave.llm.leakage import Finder, Index
+
+    item = "".join(chr(0x4E00 + x) for x in random.Random(7).sample(range(8000), 70))
+
+    def found(text):
+        return max((r[4] for r in Finder(Index([1], [item])).find([text])), default=0)
+
+    def changed(text, at):
+        return "".join("Ω" if k in at else c for k, c in enumerate(text))
+
+    assert found(changed(item[:44], {24, 29, 34, 39})) == 44
+    assert found(changed(item[:44], {4, 9, 14, 19})) == 44
+    assert found(changed(item[3:67], {24, 29, 34, 39, 44, 49})) == 64 and found(changed(item[:44], {23, 28, 33, 38, 39})) < 40
+    text = changed(item[:44], {27, 33})
+    assert found(text[:20] + text[21:24] + "Ω" + text[24:]) == 44  # one missing, one put in, two changed
