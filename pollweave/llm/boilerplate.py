@@ -126,7 +126,7 @@ def subject_of(lines: Sequence[str]) -> tuple[str, int]:
             runs.append([])
     run = [i for i in max(runs, key=len) if i in told]
     for zone, share in ((sorted(under), 0.6), ([j for j in told if j > first >= 0 and not boxed[j]], 0.6), (run, 0.5)):
-        sents = [s for j in zone for s in _SENTENCE.split(forms[j]) if len(s) > 6][:80]
+        sents = [s for j in zone for s in _SENTENCE.split(forms[j]) if len(s) > 6]
         if len(sents) < 3:
             continue
         grams: Counter = Counter()

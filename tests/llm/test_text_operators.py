@@ -294,3 +294,10 @@ def test_passages_with_changes_at_the_ends():
     assert found(changed(item[3:67], {24, 29, 34, 39, 44, 49})) == 64 and found(changed(item[:44], {23, 28, 33, 38, 39})) < 40
     text = changed(item[:44], {27, 33})
     assert found(text[:20] + text[21:24] + "Ω" + text[24:]) == 44  # one missing, one put in, two changed
+
+
+def test_subject_is_sought_in_all_sentences():
+    rnd = random.Random(3)
+    noise = lambda n: "".join(chr(0x5000 + rnd.randrange(8000)) for _ in range(n))
+    lines = [noise(20) + "。" for _ in range(90)] + [noise(9) + "雾岬椿姬丸子" + noise(9) + "。" for _ in range(200)]
+    assert boilerplate.subject_of(lines) == ("雾岬椿姬丸子", -1)
