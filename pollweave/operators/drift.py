@@ -242,24 +242,31 @@ def _routed(records: DataFrame, migration: Migration) -> DataFrame:
 def _unified(records: DataFrame, migration: Migration) -> DataFrame:
     """:func:`unified` with the columns of :func:`_routed`."""
     routed = _routed(records, migration)
-    fields = []
+    fields, failed = [], []
     for r in migration.rules:
-        c = _cast(F.try_element_at("__m", F.try_element_at("__won", F.lit(r.name))), r.kind)
+        head = F.try_element_at("__won", F.lit(r.name))
+        text = F.try_element_at("__m", head)
+        c = _cast(text, r.kind)
+        if r.kind != "string":
+            failed.append(F.when((F.trim(text) != "") & ~c.cast("double").eqNullSafe(_cast(text, "double")) | (F.trim(text) != "") & c.isNull(), head))
         fields.append((F.coalesce(c, F.lit(r.default)) if r.default is not None else c).alias(r.name))
     won = F.map_values("__won")
-    rest = F.transform_values(F.map_filter("__m", lambda k, v: F.exists(won, lambda h: h.eqNullSafe(k)) & (F.coalesce(F.size(_entries(v)), F.lit(0)) > 1)), lambda k, v: F.to_json(F.slice(_entries(v), 2, F.size(_entries(v)) - 1)))
-    extra = F.map_concat(F.map_filter("__m", lambda k, v: ~F.exists(won, lambda h: h.eqNullSafe(k))), rest)
+    routed = routed.withColumn("__failed", F.array_compact(F.array(*failed)) if failed else F.expr("cast(array() as array<string>)"))
+    whole = lambda k: ~F.exists(won, lambda h: h.eqNullSafe(k)) | F.array_contains("__failed", k)
+    rest = F.transform_values(F.map_filter("__m", lambda k, v: ~whole(k) & (F.coalesce(F.size(_entries(v)), F.lit(0)) > 1)), lambda k, v: F.to_json(F.slice(_entries(v), 2, F.size(_entries(v)) - 1)))
+    extra = F.map_concat(F.map_filter("__m", lambda k, v: whole(k)), rest)
     return routed.select("rec_id", "book", "sheet_no", "row_no", *fields, extra.alias("extra"), "__f", "__won")
 
 
 def unified(records: DataFrame, migration: Migration) -> DataFrame:
     """All records of one kind in one table: ``rec_id, book, sheet_no, row_no``, the fields with their
     types, and ``extra map<string,string>`` with everything that is in no field, by header: headers that mean
-    no field of the kind, the further headers of a field that has several, and, as a JSON list, what follows
-    the first entry of a list.
+    no field of the kind, the further headers of a field that has several, values that the type cannot hold, and,
+    as a JSON list, what follows the first entry of a list.
 
     A narrow plan: each record is routed by its own keys, so no file needs to be looked up. Missing
-    fields take the rule's default; values that cannot be read as the type become null. Repeated
+    fields take the rule's default; values that cannot be read as the type become null, a whole number loses
+    its fraction, and either stays in ``extra`` as it was delivered. Repeated
     records stay repeated. Records that are no JSON object give no row.
     """
     return _unified(records, migration).drop("__f", "__won")
@@ -269,7 +276,7 @@ def long_form(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS
     """``(rec_id, kind, book, sheet_no, row_no, field, value)``: every value of every record as text.
 
     A row for each field of the kind, value null where the record has none; a row for each further entry of a
-    list; a row for each other header, under the field it means, or under itself if another header of the
+    list; a row as delivered for a value that the field's type cannot hold; a row for each other header, under the field it means, or under itself if another header of the
     record gives that field. Kinds without rules have a row for each header.
     """
     keys = ["rec_id", "kind", "book", "sheet_no", "row_no"]
@@ -282,7 +289,7 @@ def long_form(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS
         def other(e: Column) -> Column:
             means, head, text = F.try_element_at("__f", e["key"]), e["key"], e["value"]
             won = F.exists(F.map_values("__won"), lambda h: h.eqNullSafe(head))
-            return F.when(won, F.transform(_entries(text), lambda x: pair(means, x))).otherwise(F.array(pair(F.when(means.isin(names), head).otherwise(means), text)))
+            return F.when(won, F.coalesce(F.transform(_entries(text), lambda x: pair(means, x)), F.array(pair(means, text)))).otherwise(F.array(pair(F.when(means.isin(names), head).otherwise(means), text)))
 
         more = F.flatten(F.transform(F.map_entries("extra"), other))
         parts.append(_unified(records, m).select("rec_id", F.lit(m.book_kind).alias("kind"), "book", "sheet_no", "row_no", F.explode(F.concat(fields, more)).alias("p")).select(*keys, "p.*"))

@@ -82,3 +82,13 @@ def test_query_has_every_value(spark, tmp_path):
     _records(spark, [("vote_music_jp-1", 1, 1, {"排名": 1, "备注": "x"}), ("other-1", 1, 1, {"a": 1})]).write.parquet(str(tmp_path / "sheet_rows.parquet"))
     got = {(r.kind, r.field, r.value) for r in general.p2_unified(spark, str(tmp_path)).collect()}
     assert {("vote_music_jp", "排名", "1"), ("vote_music_jp", "备注", "x"), ("other", "a", "1")} <= got
+
+
+def test_failed_casts_are_kept(spark):
+    rows = [("vote_music_jp-1", 1, 1, {"rank": "暂无", "得票数": 777.5, "评论数": "约9条", "译名": "a", "上回名次": "", "本名票数": ["x", 3]})]
+    m = next(m for m in drift.MIGRATIONS if m.book_kind == "vote_music_jp")
+    u = drift.unified(_records(spark, rows), m).first()
+    assert u["排名"] is None and u["得票数"] == 777 and u["评论数"] == 9
+    assert u["extra"] == {"rank": "暂无", "得票数": "777.5", "本名票数": '["x",3]'}
+    got = {(r.field, r.value) for r in drift.long_form(_records(spark, rows)).collect()}
+    assert {("排名", "暂无"), ("得票数", "777"), ("得票数", "777.5"), ("本名票数", "x"), ("本名票数", "3")} <= got
