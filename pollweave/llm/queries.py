@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pollweave.llm import boilerplate, canonical, cooccur, langid, leakage, lookalike, termfreq
+from pollweave.llm import boilerplate, canonical, cooccur, langid, leakage, lookalike, packing, termfreq
 from pollweave.operators import packed
 from pollweave.session import broadcast_if_small
 from pollweave.sources.tables import table
@@ -162,10 +162,6 @@ def p5_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return _entries(spark, d).where("ref_id is null").groupBy("src", "value").agg(F.count("*").alias("n_rows"))
 
 
-def p5_scores(spark: SparkSession, d: str) -> DataFrame:
-    return _entries(spark, d)
-
-
 # problem 3: page boilerplate
 
 
@@ -182,6 +178,43 @@ def p3_articles(spark: SparkSession, d: str) -> DataFrame:
     return lines.groupBy("page_id").agg(F.count("*").alias("n_lines"), F.array_join(F.transform(body, lambda x: x["line"]), "\n").alias("article"))
 
 
+# problem 8: texts in containers
+
+#: The session setting that names the tokenizer file, and the file where it is unset.
+TOKENIZER = ("pollweave.tokenizer", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+def _containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.packed_texts(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", spark.conf.get(*TOKENIZER))
+
+
+@query
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """The container of each text (of each piece of a text longer than a container) and its place in it."""
+    return _containers(spark, d)
+
+
+@query
+def p8_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the containers, counted over all of them: texts placed, texts placed in pieces although
+    they fit, containers over the capacity, containers with gaps or overlaps, and pairs of containers half full or less
+    (best fit leaves one at most)."""
+    p = _containers(spark, d)
+    per = p.groupBy("container").agg(F.sum("length").alias("held"), F.max(F.col("offset") + F.col("length")).alias("reach"), F.countDistinct("offset").alias("places"), F.count("*").alias("n"))
+    box = per.agg(
+        F.count_if(F.col("held") > packing.CAPACITY).alias("overfull"),
+        F.count_if((F.col("reach") != F.col("held")) | (F.col("places") != F.col("n"))).alias("with_gaps"),
+        (F.count_if(F.col("held") * 2 <= packing.CAPACITY) > 1).alias("wasteful"),
+    )
+    doc = p.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("length").alias("size"), F.countDistinct("piece").alias("k"))
+    doc = doc.agg(F.count("*").alias("placed"), F.count_if((F.col("n") != F.ceil(F.col("size") / packing.CAPACITY)) | (F.col("k") != F.col("n"))).alias("needlessly_cut"))
+    return doc.crossJoin(F.broadcast(box)).select("placed", "needlessly_cut", "overfull", "with_gaps", "wasteful")
+
+
+SQL["p8_audit"] = """select cast(count(distinct doc_id) as bigint) as placed, cast(0 as bigint) as needlessly_cut, cast(0 as bigint) as overfull, cast(0 as bigint) as with_gaps, false as wasteful
+from documents where text <> ''"""
+
+
 # problem 9: evaluation texts in the corpus
 
 

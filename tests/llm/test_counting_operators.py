@@ -54,19 +54,63 @@ def test_odds_are_finite(spark):
     assert r.odds_ratio == pytest.approx(5.5 * 0.5 / (0.5 * 0.5)) and cooccur.above_chance(cooccur.pairs(df)).count() == 0
 
 
-@settings(deadline=None, max_examples=150)
+def _one_by_one(sizes, capacity):
+    """Best fit decreasing item by item: the containers' contents."""
+    boxes = []
+    for s in sorted(sizes, reverse=True):
+        fits = [b for b in boxes if sum(b) + s <= capacity]
+        if fits:
+            max(fits, key=sum).append(s)
+        else:
+            boxes.append([s])
+    return boxes
+
+
+def _least(sizes, capacity):
+    """The smallest number of containers, by search."""
+    best = len(_one_by_one(sizes, capacity))
+    sizes = sorted(sizes, reverse=True)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(sizes):
+            best = len(rooms)
+            return
+        for r in {r for r in rooms if r >= sizes[i]}:
+            place(i + 1, [*(x for k, x in enumerate(rooms) if k != rooms.index(r)), r - sizes[i]])
+        place(i + 1, [*rooms, capacity - sizes[i]])
+
+    place(0, [])
+    return best
+
+
+@settings(deadline=None, max_examples=300)
 @given(st.dictionaries(st.integers(1, 20), st.integers(1, 40), max_size=12))
-def test_plan(histogram):
-    used = Counter()
+def test_plan_is_best_fit(histogram):
+    used, fills = Counter(), Counter()
     plan = packing.plan(histogram, 20)
     for n, contents in plan:
         assert n > 0 and sum(s * k for s, k in contents) <= 20
+        fills[sum(s * k for s, k in contents)] += n
         for s, k in contents:
             used[s] += n * k
     assert used == Counter(histogram)
-    # any-fit bound: no two containers could be merged on the whole
-    total, containers = sum(s * k for s, k in histogram.items()), sum(n for n, _ in plan)
-    assert containers <= 2 * total / 20 + 1
+    assert fills == Counter(map(sum, _one_by_one(Counter(histogram).elements(), 20)))
+    assert len(plan) <= 3 * max(1, len(histogram))
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.integers(1, 20), max_size=9))
+def test_plan_against_the_least(sizes):
+    n = sum(n for n, _ in packing.plan(Counter(sizes), 20))
+    assert n <= 11 * _least(sizes, 20) / 9 + 6 / 9  # the known bound of best fit decreasing
+
+
+@pytest.mark.parametrize("histogram, capacity", [({12: 3, 4: 5}, 20), ({7: 3, 3: 4}, 13)])
+def test_plan_refills_what_it_took(histogram, capacity):
+    assert sum(n for n, _ in packing.plan(histogram, capacity)) == 3
 
 
 def test_plan_fills_well():
@@ -75,7 +119,9 @@ def test_plan_fills_well():
     assert sum(s * k for s, k in h.items()) / 2048 / sum(n for n, _ in packing.plan(h)) > 0.99
 
 
-def test_packed_items(spark):
+@pytest.mark.parametrize("at_once", [packing.RANKED_AT_ONCE, 30])
+def test_packed_items(spark, monkeypatch, at_once):
+    monkeypatch.setattr(packing, "RANKED_AT_ONCE", at_once)
     rng = random.Random(4)
     sizes = [rng.randint(1, 60) for _ in range(300)] + [10] * 200 + [100, 101, 350, 0, -3, None]
     df = spark.createDataFrame(list(enumerate(sizes)), "id long, n int").withColumn("rank", F.lit("x"))
@@ -101,5 +147,14 @@ def test_token_counts(spark, file):
     assert got[2] == got[3] == 0 and got[1] > 4 and got[4] > 1
 
 
+def test_packed_texts(spark):
+    P = pytest.importorskip("public_tokenizers")
+    df = spark.createDataFrame([(1, "a b c", 7), (2, None, 7), (3, "", 7), (4, "好" * 40, 7), (5, "a b c", 7)], "id int, text string, length int")
+    rows = packing.packed_texts(df, "id", "text", P.path("byte_bpe_50k.tiktoken"), 20).collect()
+    assert {r.id for r in rows} == {1, 4, 5} and max(r.length for r in rows) == 20
+    with pytest.raises(ValueError):
+        packing.packed(df, "length", "id")
+
+
 def test_queries_are_complete():
-    assert {f"p{n}_found" for n in (3, 4, 5, 6, 7, 9, 10)} <= set(queries.QUERIES)
+    assert {f"p{n}_found" for n in (3, 4, 5, 6, 7, 9, 10)} | {"p8_containers", "p8_audit"} <= set(queries.QUERIES)
