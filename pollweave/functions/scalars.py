@@ -23,6 +23,13 @@ def session_number(name: str | Column) -> Column:
     return F.nullif(F.regexp_extract(col(name), r"^(\d+)", 1), F.lit("")).try_cast("bigint")
 
 
+def session_order(name: str | Column) -> Column:
+    """Orders session names by their number, then by the whole name; names without a number come first, null
+    names are null."""
+    n = col(name)
+    return F.when(n.isNotNull(), F.struct(F.coalesce(session_number(n), F.lit(-1)).alias("no"), n.alias("name")))
+
+
 def session_index(key: str | Column) -> tuple[Column, Column]:
     """``3_jp`` -> (2, 1): index from zero, and the region's code (cn 0, jp 1)."""
     k = col(key)

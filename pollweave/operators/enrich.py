@@ -9,23 +9,35 @@ from pollweave.functions.scalars import normalize_title
 from pollweave.functions.semantics import assert_unique, require_columns
 
 
-def enrich_votes(votes: DataFrame, dim: DataFrame, key: str, value: str, above: float | None = 5.0) -> DataFrame:
-    """Votes whose ``key`` has a dimension row with ``value`` (more than ``above``, if given); duplicates in
-    the dimension fan out; null keys match nothing. The dimension is pruned and filtered before the join,
-    which Spark broadcasts if its size allows."""
+def enrich_votes(votes: DataFrame, dim: DataFrame, key: str, value: str, above: float | None = 5.0, least: float | None = None) -> DataFrame:
+    """Votes whose ``key`` has a dimension row with ``value`` (more than ``above``, if given; at least ``least``,
+    if given); duplicates in the dimension fan out; null keys match nothing. The dimension is pruned and filtered
+    before the join, which Spark broadcasts if its size allows."""
     require_columns(votes, key)
     require_columns(dim, key, value)
     d = dim.select(f"`{key}`", F.col(f"`{value}`").cast("double").alias(value)).dropna(subset=[key, value])
     if above is not None:
         d = d.where(F.col(f"`{value}`") > above)
+    if least is not None:
+        d = d.where(F.col(f"`{value}`") >= least)
     return votes.drop(value).join(d, key)
 
 
-def enrich_songs(votes: DataFrame, dim: DataFrame, title: str, values: list[str], aliases: dict[str, str] | None = None, validate: bool = True) -> DataFrame:
+def title_clashes(dim: DataFrame, title: str, aliases: dict[str, str] | None = None) -> DataFrame:
+    """``(title, n)`` of the normalised titles on several rows of a dimension; null titles are none."""
+    return dim.groupBy(normalize_title(title, aliases).alias("title")).agg(F.count("*").alias("n")).where("title is not null and n > 1")
+
+
+def enrich_songs(votes: DataFrame, dim: DataFrame, title: str, values: list[str], aliases: dict[str, str] | None = None, order: str | None = None) -> DataFrame:
     """Votes joined to songs by normalised title; ``values`` replace columns of the same names.
-    With ``validate`` a title on two rows of the dimension is an error; rows lacking a value are dropped."""
-    d = dim.select(normalize_title(title, aliases).alias("__key"), *[f"`{v}`" for v in values]).dropna()
-    if validate:
+
+    A title on two rows of the dimension is an error; with ``order`` the first row by it stands for the title
+    instead, so no vote is lost or counted twice. Rows lacking a value are dropped before; null titles match nothing.
+    """
+    d = dim.select(normalize_title(title, aliases).alias("__key"), *[f"`{v}`" for v in values], *([F.col(f"`{order}`").alias("__o")] if order else [])).dropna()
+    if order:
+        d = d.groupBy("__key").agg(F.min_by(F.struct(*[f"`{v}`" for v in values]), "__o").alias("__v")).select("__key", "__v.*")
+    else:
         assert_unique(d, "__key")
     return votes.drop(*values).withColumn("__key", normalize_title(title, aliases)).join(d, "__key").drop("__key")
 

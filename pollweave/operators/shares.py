@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pollweave.functions.scalars import percent
+from pollweave.functions.scalars import percent, session_number, session_order
 from pollweave.functions.semantics import col, require_columns, sum0
 
 
@@ -19,6 +19,20 @@ def totals(raw: DataFrame, session: str, votes: str, out: str = "total") -> Data
     return raw.groupBy(col(session)).agg(sum0(col(votes).try_cast("bigint")).alias(out))
 
 
+def last_session(df: DataFrame, session: str) -> DataFrame:
+    """The rows of the latest session: all names with the largest leading number (``20`` and ``20 (a, b)`` are
+    one session); where no name has a number, the last name. Rows with a null session are left out."""
+    top = df.agg(F.max(session_order(session)).alias("__o"))
+    same = (F.col("__o.no") >= 0) & (session_number(session) == F.col("__o.no")) | (F.col("__o.no") < 0) & (col(session) == F.col("__o.name"))
+    return df.join(F.broadcast(top), same, "inner").drop("__o")
+
+
+def checked_totals(raw: DataFrame, session: str, votes: str, out: str = "total") -> DataFrame:
+    """:func:`totals`, but a session whose total is 0 raises when its row is read."""
+    t = totals(raw, session, votes, out)
+    return t.withColumn(out, F.when(F.col(out) != 0, F.col(out)).otherwise(F.raise_error(F.concat(F.lit("no votes in session "), F.coalesce(col(session).cast("string"), F.lit("null"))))))
+
+
 def topn_share(grouped: DataFrame, raw: DataFrame, session: str, votes: str, n: int, order: tuple[str, ...] = ()) -> DataFrame:
     """``(session, top_votes, total, share)``: percentage of all votes that the ``n`` largest rows have.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pollweave.functions import scalars as S
 from pollweave.functions import semantics as M
-from pollweave.operators import document, enrich, relate, shares, tags
+from pollweave.operators import document, enrich, packed, relate, shares, tags
 from pollweave.sources import sinks
 from pollweave.sources.tables import table
 
@@ -61,19 +61,29 @@ def _title_sql(c: str) -> str:
 
 
 @query(
-    f"""with songs as (select {_title_sql('"曲目"')} as k, "译名" as tr, "所属角色" as chars from song_dim where "曲目" is not null and "译名" is not null and "所属角色" is not null),
-    uniq as (select * from songs where k in (select k from songs group by k having count(*) = 1))
-    select v.row_id, u.tr as title, u.chars as members from music_votes_jp v join uniq u on {_title_sql('v."曲目"')} = u.k"""
+    f"""with songs as (select row_id, {_title_sql('"曲目"')} as k, "译名" as tr, "所属角色" as chars from song_dim where "曲目" is not null and "译名" is not null and "所属角色" is not null),
+    firsts as (select k, tr, chars from songs where row_id in (select min(row_id) from songs group by k))
+    select v.row_id, u.tr as title, u.chars as members from music_votes_jp v join firsts u on {_title_sql('v."曲目"')} = u.k"""
 )
 def enrich_normalized_title(spark: SparkSession, d: str) -> DataFrame:
-    dim = table(spark, d, "song_dim", "曲目", "译名", "所属角色")
-    key = S.normalize_title("曲目")
-    twice = dim.dropna().groupBy(key.alias("k")).count().where("count > 1").select("k")
-    dim = dim.dropna().withColumn("k", key).join(twice, "k", "left_anti").drop("k")
-    out = enrich.enrich_songs(table(spark, d, "music_votes_jp", "row_id", "曲目", "译名", "所属角色"), dim, "曲目", ["译名", "所属角色"])
+    """Songs by normalised title; where a title stands on two rows of the dimension its first row counts."""
+    dim = table(spark, d, "song_dim", "row_id", "曲目", "译名", "所属角色")
+    out = enrich.enrich_songs(table(spark, d, "music_votes_jp", "row_id", "曲目"), dim, "曲目", ["译名", "所属角色"], order="row_id")
     return out.select("row_id", F.col("译名").alias("title"), F.col("所属角色").alias("members"))
 
 
+@query(f"""select {_title_sql('"曲目"')} as title, cast(count(*) as bigint) as n from song_dim where "曲目" is not null group by 1 having count(*) > 1""")
+def title_clashes(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.title_clashes(table(spark, d, "song_dim", "曲目"), "曲目")
+
+
+@query("""select row_id, "日文名", d.work from char_votes_jp join (select "日文名", "首次出现作品" as work from char_dim where "首次出现作品" >= 6) d using ("日文名")""")
+def enrich_from_work(spark: SparkSession, d: str) -> DataFrame:
+    """The bound that includes its value: works from number 6 on."""
+    out = enrich.enrich_votes(_jp(spark, d), table(spark, d, "char_dim"), "日文名", "首次出现作品", None, 6.0)
+    return out.select("row_id", "日文名", F.col("首次出现作品").alias("work"))
+
+
 # shares
 
 for _n in (7, 15, 30):
@@ -115,20 +125,32 @@ def entity_share_trend_cn(spark: SparkSession, d: str) -> DataFrame:
     return shares.entity_share(_cn(spark, d), "session", "译名", "票数", "row_id").withColumnRenamed("译名", "name")
 
 
+_NUM = lambda c: f"nullif(regexp_extract({c}, '^(\\d+)', 1), '')"
+
+
+def _last_sql(t: str) -> str:
+    return f"""(select * from {t} where cast({_NUM('session')} as bigint) = (select max(cast({_NUM('session')} as bigint)) from {t}))"""
+
+
 @query(
-    """with a as (select * from char_votes_cn where session = (select max(session) from char_votes_cn)),
-    b as (select * from char_votes_jp where session = (select max(session) from char_votes_jp)),
+    f"""with a as {_last_sql('char_votes_cn')}, b as {_last_sql('char_votes_jp')},
     sa as (select "译名" as name, cast("票数" as double) / (select sum(coalesce("票数", 0)) from a) * 100 as s from a where row_id in (select min(row_id) from a where "译名" is not null group by "译名") and "票数" <> 0),
     sb as (select "译名" as name, cast("票数" as double) / (select sum(coalesce("票数", 0)) from b) * 100 as s from b where row_id in (select min(row_id) from b where "译名" is not null group by "译名") and "票数" <> 0)
     select name, round_even(sa.s, 2) as share_a, round_even(sb.s, 2) as share_b, round_even(sa.s - sb.s, 2) + 0.0 as difference from sa join sb using (name)"""
 )
 def region_share_diff(spark: SparkSession, d: str) -> DataFrame:
-    def last(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(df.agg(F.max("session").alias("session"))), "session", "left_semi")
-
+    """The latest sessions (by number) of both regions compared."""
+    last = lambda df: shares.last_session(df.select("row_id", "session", "译名", "票数"), "session")
     return shares.share_difference(last(_cn(spark, d)), last(_jp(spark, d)), "译名", "票数", "row_id").withColumnRenamed("译名", "name")
 
 
+@query(f"""select 'cn' as region, session, cast(count(*) as bigint) as n from {_last_sql('char_votes_cn')} group by 2 union all select 'jp', session, cast(count(*) as bigint) from {_last_sql('char_votes_jp')} group by 2""")
+def last_session_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The names under which the latest session of each region comes, with their rows."""
+    one = lambda df, r: shares.last_session(df.select("session"), "session").groupBy("session").agg(F.count("*").alias("n")).select(F.lit(r).alias("region"), "session", "n")
+    return one(_cn(spark, d), "cn").unionByName(one(_jp(spark, d), "jp"))
+
+
 @query("""select session, cast(sum(coalesce(try_cast("票数" as bigint), 0)) as bigint) as total from char_votes_jp group by 1""")
 def session_totals_tolerant(spark: SparkSession, d: str) -> DataFrame:
     return shares.totals(_jp(spark, d), "session", "票数")
@@ -168,9 +190,6 @@ def map_lookup_default(spark: SparkSession, d: str) -> DataFrame:
     return enrich.lookup(_jp(spark, d).select("row_id", "日文名"), "日文名", lookup, "日文名", "译名", "name", default="unknown").select("row_id", "name")
 
 
-_NUM = lambda c: f"nullif(regexp_extract({c}, '^(\\d+)', 1), '')"
-
-
 @query(f"select row_id, session from char_votes_jp where {_NUM('session')} in (select {_NUM('session')} from char_votes_cn)")
 def semi_sessions(spark: SparkSession, d: str) -> DataFrame:
     n = S.session_number("session").alias("no")
@@ -234,14 +253,29 @@ def spearman_pvalue(spark: SparkSession, d: str) -> DataFrame:
     return relate.with_p_value(relate.spearman(_entities(spark, d), "votes", "comments"))
 
 
-@query(
-    """with m as (select unnest(string_split("所属角色", '|')) as x, cast("得票数" as double) as v from music_votes_jp),
-    t as (select regexp_replace(x, '^[\\s\\x{3000}\\x{A0}]+|[\\s\\x{3000}\\x{A0}]+$', '', 'g') as member, v from m)
-    select member, round(avg(v), 6) as mean_votes, cast(count(*) as bigint) as n from t where member <> '' group by 1"""
-)
+# The members of a packed field, said in SQL apart from the operator's grammar: names that hold signs are masked (each sign
+# becomes a private character), the field is cut at the signs left, quotes and brackets go, and the masks come off.
+_SIGNS = "|｜;；、，,/／+＋&＆\"“”「」『』''‘’＂[]【】《》〈〉｛｝{}"
+_MEMBERS = f"""sig as (select '{_SIGNS}' as signs, string_agg(chr(57344 + cast(i as int)), '' order by i) as masks from range(0, length('{_SIGNS}')) r(i)),
+tricky as (select list(x order by length(x) desc, x) as names from (select distinct "译名" as x from char_dim, sig where translate("译名", signs, '') <> "译名")),
+fields as (select distinct "所属角色" as f from music_votes_jp where "所属角色" <> ''),
+clear as (select f, replace(replace(f, '\\"', '"'), '""', '"') as g from fields),
+hidden as (select f, list_reduce(list_prepend(g, names), lambda acc, x: replace(acc, x, translate(x, signs, masks))) as g, signs, masks from clear, tricky, sig),
+parts as (select f, signs, masks, unnest(string_split_regex(g, '[|｜;；、，,/／+＋&＆\\t\\n\\r]')) as x from hidden),
+member as (select f, translate(regexp_replace(x, '^[\\s\\x{{3000}}\\x{{A0}}"“”「」『』''‘’＂\\[\\]【】《》〈〉｛｝{{}}]+|[\\s\\x{{3000}}\\x{{A0}}"“”「」『』''‘’＂\\[\\]【】《》〈〉｛｝{{}}]+$', '', 'g'), masks, signs) as member from parts)"""
+
+
+def _songs_with_members(spark: SparkSession, d: str, songs: DataFrame, *values: str) -> DataFrame:
+    """``(row_id, values, val)``: a row for each character that a song's field names, by the grammar of packed fields."""
+    known = packed.known_names(table(spark, d, "char_dim", "译名"), "译名")
+    return packed.split_packed(songs, "所属角色", ["row_id", *values], known).select("row_id", *values, "val")
+
+
+@query(f"""with {_MEMBERS} select member, round(avg(cast("得票数" as double)), 6) as mean_votes, round(avg(cast("评论数" as double)), 6) as mean_comments, cast(count(*) as bigint) as n from music_votes_jp join member on f = "所属角色" where member <> '' group by 1""")
 def explode_avg(spark: SparkSession, d: str) -> DataFrame:
-    v = table(spark, d, "music_votes_jp", "所属角色", "得票数")
-    return relate.average_by_member(v, S.split_trim("所属角色", "|"), {"mean_votes": "得票数"}).withColumn("mean_votes", F.round("mean_votes", 6))
+    v = _songs_with_members(spark, d, table(spark, d, "music_votes_jp", "row_id", "所属角色", "得票数", "评论数"), "得票数", "评论数")
+    m = relate.average_by_member(v, F.array("val"), {"mean_votes": "得票数", "mean_comments": "评论数"})
+    return m.select("member", F.round("mean_votes", 6).alias("mean_votes"), F.round("mean_comments", 6).alias("mean_comments"), "n")
 
 
 _REGIONS = """u as (select 'jp' as region, session, "译名" as name, "票数" as votes from char_votes_jp union all select 'cn', session, "译名", "票数" from char_votes_cn)"""
@@ -290,20 +324,28 @@ def only_in_region_b(spark: SparkSession, d: str) -> DataFrame:
     return relate.only_in(table(spark, d, "music_votes_jp"), table(spark, d, "music_votes_cn"), "译名").withColumnRenamed("译名", "title")
 
 
-_MUSIC = """ent as (select "译名" as name, avg("票数") as v from char_votes_jp where "译名" is not null group by 1),
+_MUSIC = f"""lastc as {_last_sql('char_votes_jp')}, lastm as {_last_sql('music_votes_jp')},
+ent as (select "译名" as name, avg("票数") / (select sum("票数") from lastc) as v from lastc where "译名" is not null group by 1),
 zc as (select name, (v - (select avg(v) from ent)) / (select nullif(stddev_pop(v), 0) from ent) as zc from ent),
-sg as (select "所属角色" as f, cast("得票数" as double) as v from music_votes_jp),
+sg as (select "所属角色" as f, cast("得票数" as double) / (select sum("得票数") from lastm) as v from lastm),
 zs as (select f, (v - (select avg(v) from sg)) / (select nullif(stddev_pop(v), 0) from sg) as z from sg),
-mem as (select regexp_replace(unnest(string_split(f, '|')), '^[\\s\\x{3000}\\x{A0}]+|[\\s\\x{3000}\\x{A0}]+$', '', 'g') as name, z from zs),
-zm as (select name, avg(z) as zm, count(*) as n from mem where name <> '' group by 1),
+{_MEMBERS}, lookup as (select "日文名" as k, max("译名") as tr from char_dim group by 1),
+mem as (select coalesce(tr, member) as name, z from zs join member using (f) left join lookup on k = member where member <> ''),
+zm as (select name, avg(z) as zm, count(*) as n from mem group by 1),
 both_z as (select zc.name, coalesce(zc, 0) as zc, coalesce(zm, 0) as zm, cast(coalesce(n, 0) as bigint) as n from zc left join zm using (name))"""
 
 
 def _music(spark: SparkSession, d: str) -> DataFrame:
-    """Standard score of each character's votes and of the songs it appears in; 0 without songs."""
-    ent = _jp(spark, d).dropna(subset=["译名"]).groupBy(F.col("译名").alias("name")).agg(F.avg("票数").alias("v"))
-    songs = relate.zscore(table(spark, d, "music_votes_jp", "所属角色", "得票数"), "得票数", "z")
-    by = relate.average_by_member(songs, S.split_trim("所属角色", "|"), {"zm": "z"}).withColumnRenamed("member", "name")
+    """Standard score of each character's share of the latest session's votes and of the songs it appears in; 0
+    without songs. Names in the other language are unified by the dimension."""
+    share = lambda df, v, o: relate.share_of_total(df, v, o)
+    last = lambda t, *c: shares.last_session(table(spark, d, t, "session", *c), "session")
+    ent = share(last("char_votes_jp", "译名", "票数"), "票数", "share").dropna(subset=["译名"]).groupBy(F.col("译名").alias("name")).agg(F.avg("share").alias("v"))
+    songs = relate.zscore(share(last("music_votes_jp", "row_id", "所属角色", "得票数"), "得票数", "share"), "share", "z")
+    v = _songs_with_members(spark, d, songs, "z")
+    names = enrich.last_wins(table(spark, d, "char_dim", "日文名", "译名").withColumn("o", F.col("译名")), "日文名", "译名", "o")
+    v = enrich.lookup(v, "val", names, "日文名", "译名", "name", fallback=True)
+    by = relate.average_by_member(v, F.array("name"), {"zm": "z"}).withColumnRenamed("member", "name")
     return relate.outer_fill(relate.zscore(ent, "v", "zc").drop("v"), by, "name", 0, "left")
 
 
