@@ -1,10 +1,14 @@
 """Main content of web pages: flat text blocks classified by a decision tree.
 
 A page is a list of blocks (lines). Each block gets its word count and link density (the share of its
-text in short pieces set side by side, as menus are), a few signs of its form, whether it speaks of the
-page's subject, and the same figures of its neighbours; a decision tree (CART, trained here on the small
-labelled table beside this module) tells content from boilerplate. One narrow pass over the pages, no
-shuffle; the tree and the table of labelled short blocks are a few kilobytes.
+text in short pieces set side by side, as menus are), a few signs of its form, whether it shares the
+page's topic, and the same figures of its neighbours; a decision tree (CART, trained here on the small
+labelled table beside this module) tells content from boilerplate. No word list takes part: the topic is
+the short piece of the page that most of its sentences repeat, and what a site prints on page after page
+is known by counting it (:func:`templates`), not by its words.
+
+One narrow pass over the pages, and one before it that counts repeated short blocks; what is shuffled
+there are counts combined per task.
 """
 
 from __future__ import annotations
@@ -12,200 +16,252 @@ from __future__ import annotations
 import csv
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from pathlib import Path
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LABELS = Path(__file__).with_name("boilerplate_labels.csv")
+#: A short block is counted as repeated from so many pages and this share of all pages on. The share bounds
+#: the table that is sent to the tasks: at most its inverse times the short blocks of a page.
+TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 1 / 2000
+#: Letters of a short block at most.
+SHORT = 120
+#: Characters of pages handled together.
+CHUNK = 500_000
 
-# Labelled short blocks. Headings belong to articles; the others are a site's own.
-HEADINGS = """概要|二次设定|名字的由来|音乐|轶事|登场经历|注释|考据|人际关系|历届名次|能力与弹幕|二次創作での設定|人物関係|名前の由来|楽曲|余談|歴代順位|能力|考察|登場歴
-|登場作品|注釈|登場|音楽|設定|脚注|Overview|Trivia|Abilities|Relations|Name|Music|Analysis|Appearances|Notes|Fan lore|Past ranks""".replace("\n", "")
-BOXES = """热门条目|大家都在看|你知道吗|猜你喜欢|本周榜单|相关推荐|今日推荐|週間ランキング|人気の記事|おすすめ|関連ページ|今日の一枚|豆知識|ご存じですか|こちらもおすすめ|Trending|Picture of the day|Related pages
-|Did you know|You may also like|Weekly ranking|Popular pages""".replace("\n", "")
-MARKS = """[编辑]|[編集]|[edit]|返回顶部|短网址 复制|展开全部|加载更多|广告|点击查看大图|本段内容有争议，请到讨论页发言|ページの先頭へ戻る|短縮URL コピー|広告|もっと見る|画像を拡大|シェア ツイート風 リンク|Back to top
-|Share Copy link|Advertisement|Read more|Click to enlarge|跳到导航 跳到搜索|ナビゲーションに移動 検索に移動|Jump to navigation Jump to search|本页面词条尚未完工。|この項目は書きかけです。|This article is a stub.|You are viewing an old revision""".replace("\n", "")
-# Labelled sentences of articles that read like notices.
-SENTENCES = "她把版权页撕下来折成纸鹤，说这是自己的隐私。|She folds the copyright page into cranes and calls it her privacy policy."
-# Words of site notices that are whole sentences.
-NOTICE = re.compile(r"cookie|small files on your|データを保存|similar technolog|技術|浏览器里|端末に|継続|维护|メンテナンス|maintenance|ようこそ|欢迎来到|welcome to|除特殊注明|特に記載|available under|编辑前请|旧版本|古い版|old revision|最后编辑|最終更新|last edited|访问\d|閲覧され|been accessed|©|\(c\) ?\d|加入编辑组|编辑规范|stub|书きかけ|查看最新版|讨论页发言", re.I)
-_KIND = {**dict.fromkeys(HEADINGS.split("|"), 2), **dict.fromkeys(BOXES.split("|"), -2), **dict.fromkeys(MARKS.split("|"), -1), **dict.fromkeys(SENTENCES.split("|"), 1)}
-_PIECES = re.compile(r"\s*[|>·<]\s*|\s{2,}|\s+")
-_WORD = re.compile(r"[A-Za-zÀ-ÿ'’]+|\d+|[가-힣]+|[぀-ヿ]|[㐀-鿿]")
 _STOP = "。！？!?.～♪…」”』\"）)"
-_SENTENCE = re.compile(r"[。！？!?～♪]|\.{3}|…+|\.(?=[\s」”\"']|$)")
-_FAN = ("同人作品里", "In fan stories", "二次創作では")  # Fixed values: article sentences that may speak of cookies
-_TITLE_TAIL = re.compile(r"\s*(?:/[^/]{1,12}|[（(][^（()）]{1,16}[)）]|\s[-–—]\s.{1,30})$")
-_CLAUSE = re.compile(r"[、，,：:（）()「」“”\s]+")
+_SENTENCES = r"[。！？!?～♪]|\.{3}|…+|\.(?:[\s」”\"']|$)"
+_WORDS = r"[A-Za-zÀ-ÿ'’]+|\d+|[가-힣]+|[\x{3040}-\x{30FF}]|[\x{3400}-\x{9FFF}]"
+_SIDE = r"\s*\|\s*|\s+[>·<]\s+|\s+"
 _BULLET = re.compile(r"^\s*(?:[>*•·\-–—◆■●]|\d+[.)、])\s*")
-_DIGIT = re.compile(r"\d")
-_QUOTED = re.compile(r"^\s*[「“『\"]")
+_TAIL = re.compile(r"\s*(?:/[^/]{1,12}|[（(][^（()）]{1,16}[)）]|\s[-–—]\s.{1,30})$")
+_PIECE = re.compile(r"\s*\|\s*|\s+[>·<]\s+|\s{2,}")
+_NUMBER = re.compile(r"\d+")
+_CLAUSE = re.compile(r"[、，,：:（）()「」“”。！？!?～♪….\s]+")
+_NAMES = re.compile(r"[A-ZÀ-Þ][\w'’]*(?:\s(?:and\s)?[A-ZÀ-Þ]\w*)+")
 
+_OWN = ("words", "link_density", "ends", "cut", "sentences", "bullet", "numbered", "quoted", "bracketed", "entry", "topic", "title", "again", "crumb")
+_NEAR = ("words", "link_density", "ends", "topic", "text", "entry", "bracketed", "again")
+_FAR = ("words", "text")
+_STATS = ("t_pages", "t_inside", "t_before", "t_after")
+_NEAR_STATS = ("t_inside", "t_before")
 FEATURES = (
-    "words", "link_density", "pieces", "ends", "cut", "kind", "notice", "subject", "title", "entry", "bullet", "numbered", "quoted", "digits",
-    "prev_words", "prev_density", "prev_subject", "prev_kind", "prev_ends", "next_words", "next_density", "next_subject", "next_kind", "next_ends",
-    "since_box", "since_heading", "after_first", "before_last", "near", "named",
+    *_OWN, "text",
+    *(f"prev_{n}" for n in _NEAR), *(f"prev2_{n}" for n in _FAR), *(f"next_{n}" for n in _NEAR), *(f"next2_{n}" for n in _FAR),
+    "to_core_before", "to_core_after", "inside", "core",
+    *_STATS, *(f"prev_{n}" for n in _NEAR_STATS), *(f"next_{n}" for n in _NEAR_STATS),
 )
 
 
-def _form(line: str) -> str:
-    return " ".join(line.split())
-
+def occurrences(names: Sequence[str], texts: Sequence[str]) -> dict[str, int]:
+    """In how many of ``texts`` each of ``names`` stands, for those that stand in any; work in proportion to the texts."""
+    if len(names) * len(texts) <= 4000:
+        joined = "\n".join(texts)
+        return {x: sum(x in t for t in texts) for x in names if x in joined}
+    auto = ahocorasick.Automaton()
+    for x in names:
+        auto.add_word(x, x)
+    auto.make_automaton()
+    return dict(Counter(x for t in texts for x in {x for _, x in auto.iter(t)}))
 
-def _entry(body: str) -> bool:
-    """A list entry that names its topic and goes on about it: ``X: ... X ...``."""
-    head, colon, tail = body.replace(": ", "：", 1).partition("：")
-    return bool(colon) and 1 < len(head) <= 40 and head in tail
 
+class Blocks:
+    """The blocks of some pages with their own figures; ``page`` numbers the page of each block."""
 
-def kinds_of(forms: Sequence[str]) -> list[int]:
-    """What the labelled short blocks say of each block: 2 heading, 1 sentence, 0 nothing, -1 mark, -2 box,
-    -3 a heading's words that no text follows (menus use some of them)."""
-    kinds = [_KIND.get(f, 0) for f in forms]
-    solid = [i for i, f in enumerate(forms) if f and kinds[i] != -1]
-    for i, j in zip(solid, [*solid[1:], -1], strict=False):
-        if kinds[i] == 2:
-            f = forms[j] if j >= 0 else ""
-            text = len(f) >= 12 and _SENTENCE.search(f) and not NOTICE.search(f)
-            if not (kinds[j] in (1, 2, -2) if j >= 0 and kinds[j] else text or _entry(_BULLET.sub("", f)) or f.startswith(_FAN)):
-                kinds[i] = -3
-    return kinds
+    def __init__(self, texts: Sequence[str]):
+        split = [t.split("\n") for t in texts]
+        self.lines = [x for ls in split for x in ls]
+        n = np.array([len(ls) for ls in split], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(n)])
+        self.page = np.repeat(np.arange(len(split)), n)
+        raw = pa.array(self.lines, pa.string())
+        line = pc.utf8_trim_whitespace(pc.replace_substring_regex(raw, r"\s+", " "))
+        f64 = lambda a: a.to_numpy(zero_copy_only=False).astype(float)
+        size = f64(pc.utf8_length(line))
+        self.forms = line.to_pylist()
+        self.size = size
+        o = self.own = {k: np.zeros(len(self.lines)) for k in _OWN}
+        o["words"] = f64(pc.count_substring_regex(line, _WORDS))
+        o["sentences"] = f64(pc.count_substring_regex(line, _SENTENCES))
+        o["ends"] = np.array([x[-1:] in _STOP and x != "" for x in self.forms], float)
+        o["cut"] = f64(pc.match_substring_regex(line, r"(?:…|\.\.\.)$"))
+        o["bullet"] = f64(pc.match_substring_regex(line, r"^(?:[>*•·\-–—◆■●]|\d+[.)、])\s*\S"))
+        o["numbered"] = o["bullet"] * f64(pc.match_substring_regex(line, r"^\d"))
+        o["quoted"] = f64(pc.match_substring_regex(line, r"^(?:[>*•·\-–—◆■●]\s*)?[「“『\"]"))
+        o["bracketed"] = f64(pc.match_substring_regex(line, r"^[\[【（(].*[\]】）)]$"))
+        o["crumb"] = f64(pc.match_substring(line, " < "))
+        self._density(raw, size)
+        for i in np.flatnonzero(f64(pc.match_substring_regex(line, r"：|: "))):
+            head, _, tail = _BULLET.sub("", self.forms[i]).replace(": ", "：", 1).partition("：")
+            o["entry"][i] = 1 < len(head) <= 40 and head in tail
+        solid = size > 0
+        #: a block of running text: enough words, not set side by side, and closed as sentences are
+        self.text = solid & (o["words"] >= 8) & (o["link_density"] < 0.5) & (o["ends"] > 0) & (o["sentences"] > 0)
+        self.solid = solid
+        seen: dict[tuple[int, str], int] = Counter((p, x) for p, x in zip(self.page.tolist(), self.forms, strict=True) if x)
+        o["again"] = np.array([min(seen.get((p, x), 0), 9) for p, x in zip(self.page.tolist(), self.forms, strict=True)], float)
+        self._topics()
 
+    def _density(self, raw: pa.Array, size: np.ndarray) -> None:
+        o = self.own
+        pieces = pc.split_pattern_regex(pc.utf8_trim_whitespace(raw), _SIDE)
+        flat = pc.utf8_length(pieces.flatten()).to_numpy(zero_copy_only=False).astype(float)
+        marks = pc.match_substring_regex(pieces.flatten(), r"[。！？!?～♪…]").to_numpy(zero_copy_only=False)
+        at = pieces.offsets.to_numpy()[:-1]
+        full = np.maximum(np.add.reduceat(flat, at), 1) if len(flat) else np.ones(len(size))
+        short = np.add.reduceat(np.where((flat <= 16) & ~marks, flat, 0), at) if len(flat) else np.zeros(len(size))
+        n = np.diff(pieces.offsets.to_numpy()).astype(float)
+        d = np.where(n > 1, short / full, 0.0)
+        # in running text of languages that part words by blanks the pieces are words, and function words link them
+        d = np.where((n > 1) & (o["ends"] > 0) & (o["sentences"] > 0) & (o["words"] >= 8), d * 0.4, d)
+        o["link_density"] = np.where((n == 1) & (o["words"] <= 8) & (o["ends"] == 0) & (size > 0), 1.0, d)
 
-def subject_of(lines: Sequence[str]) -> tuple[str, int]:
-    """What the page speaks of and the block that is its title: ``('', -1)`` if it has neither.
+    def _topics(self) -> None:
+        """The topic of each page and the blocks that share it."""
+        o = self.own
+        self.topics: list[str] = []
+        for p in range(len(self.start) - 1):
+            a, b = int(self.start[p]), int(self.start[p + 1])
+            told = [self.forms[i] for i in range(a, b) if self.text[i] and not o["entry"][i]]
+            topic, at = self._topic(a, b, told)
+            self.topics.append(topic)
+            if topic:
+                low = topic.lower()
+                for i in range(a, b):
+                    o["topic"][i] = low in self.forms[i].lower()
+                if at >= 0:
+                    o["title"][at] = 1
 
-    The subject is the title-like block found in most sentences, if it stands before a heading or a
-    sentence about it, or in a breadcrumb; else the phrase that most sentences under headings share.
-    """
-    forms = [_form(x) for x in lines]
-    kinds = kinds_of(forms)
-    told = [i for i, f in enumerate(forms) if len(f) >= 12 and kinds[i] == 0 and _SENTENCE.search(f) and not _entry(_BULLET.sub("", f))]
-    solid = [i for i, f in enumerate(forms) if f and kinds[i] != -1]
-    follow = dict(zip(solid, solid[1:], strict=False))
-    under = {follow[i] for i in solid if kinds[i] == 2 and i in follow} & set(told)
-    boxed, inside = {}, False
-    for i in solid:
-        inside = kinds[i] == -2 or inside and kinds[i] != 2
-        boxed[i] = inside
-    best = ("", -1, 0.0)
-    for i in solid:
-        f = forms[i]
-        if kinds[i] or len(f) > 70 or len(f) < 2:
-            continue
-        crumb = " < " in f
-        c = f.rsplit(" < ", 1)[1] if crumb else f
-        if _SENTENCE.search(c) or "|" in c and " | " in c or _BULLET.match(c) or c[-1] in ">：:":
-            continue
-        nxt = follow.get(i, -1)
-        for name in dict.fromkeys((c, _TITLE_TAIL.sub("", c))):
-            if not 1 < len(name) <= 40:
+    def _topic(self, a: int, b: int, told: list[str]) -> tuple[str, int]:
+        """``(topic, its block or -1)`` of the page of blocks a to b: the short piece, alone
+        or among others in a block, that most running text repeats; else the phrase that most of it shares."""
+        pieces: dict[str, list[tuple[int, bool, bool]]] = {}
+        for i in range(a, b):
+            f = self.forms[i]
+            if not f or self.size[i] > 80 or self.own["sentences"][i] and self.own["ends"][i] or self.own["bullet"][i]:
                 continue
-            n = sum(name in forms[j] for j in told if crumb or j > i)
-            direct = nxt >= 0 and (kinds[nxt] == 2 or nxt in told and name in forms[nxt])
-            score = n + 1.5 * direct + 0.5 * (name != c) + 0.5 * crumb
-            fits = not under or any(name in forms[j] for j in under)
-            lone = nxt >= 0 and not under and (kinds[nxt] == 2 or _entry(_BULLET.sub("", forms[nxt])) and not boxed[i])
-            if (direct or crumb or n > 1 or lone) and (n or lone or name != c and direct) and (fits or n > len(under)) and score > best[2]:
-                best = (name, -1 if crumb else i, score)
-    if best[0]:
-        name, at, _ = best
-        if at < 0:  # a breadcrumb names the subject; the title may stand below it
-            at = next((i for i in solid if " < " not in forms[i] and _TITLE_TAIL.sub("", forms[i]) == name), -1)
-        return name, at
-    first = min((i for i in solid if kinds[i] == 2), default=-1)
-    runs: list[list[int]] = [[]]
-    for i in solid:  # the longest stretch of sentences and entries
-        if i in told or _entry(_BULLET.sub("", forms[i])):
-            runs[-1].append(i)
-        elif runs[-1]:
-            runs.append([])
-    run = [i for i in max(runs, key=len) if i in told]
-    for zone, share in ((sorted(under), 0.6), ([j for j in told if j > first >= 0 and not boxed[j]], 0.6), (run, 0.5)):
-        sents = [s for j in zone for s in _SENTENCE.split(forms[j]) if len(s) > 6]
-        if len(sents) < 3:
-            continue
-        grams: Counter = Counter()
-        for s in sents:
-            words = re.findall(r"[A-ZÀ-Þ][\w'’]*(?:\s[A-ZÀ-Þ]\w*)+", s)
-            grams.update(set(words) if words else {x[i : i + n] for x in _CLAUSE.split(s) for n in (3, 4, 5, 6, 8, 10) for i in range(len(x) - n + 1)})
-        top, n = max(grams.items(), key=lambda x: (x[1], len(x[0])), default=("", 0))
-        if n >= max(3, share * len(sents)):
-            return top, -1
-    return "", -1
-
-
-def features(text: str) -> np.ndarray:
-    """One row of FEATURES per line of ``text`` (split at line feeds)."""
-    lines = text.split("\n")
-    n = len(lines)
-    sub, title_at = subject_of(lines)
-    base = np.zeros((n, 14))
-    known = kinds_of([_form(x) for x in lines])
-    for i, raw in enumerate(lines):
-        line = _form(raw)
-        words = len(_WORD.findall(line))
-        parts = [p for p in _PIECES.split(line) if p]
-        short = sum(len(p) for p in parts if len(p) <= 16 and not _SENTENCE.search(p)) if len(parts) > 1 else 0
-        density = short / max(1, sum(map(len, parts)))
-        if len(parts) == 1 and words <= 8 and line[-1:] not in _STOP:
-            density = 1.0
-        bullet = _BULLET.match(line)
-        body = _BULLET.sub("", line)
-        has = bool(sub) and sub.lower() in line.lower()
-        base[i] = (
-            words, density, len(parts), line[-1:] in _STOP and line != "", bool(re.search(r"(?:…|\.\.\.)$", line)), known[i], bool(NOTICE.search(line)) and not has or " < " in line, has and " < " not in line,
-            i == title_at, _entry(body), bool(bullet), bool(bullet) and line[:1].isdigit(), bool(_QUOTED.match(body)), len(_DIGIT.findall(line)) / max(1, len(line)),
-        )
-    kind, subj, ends, words = base[:, 5], base[:, 7], base[:, 3], base[:, 0]
-    sentence = (ends > 0) & (words >= 6)
-    core = np.flatnonzero(((subj > 0) & sentence) | (kind == 2) | ((base[:, 9] > 0) & sentence))
-    out = np.zeros((n, len(FEATURES)))
-    out[:, :14] = base
-    # neighbours: the nearest blocks that are not edit marks or blank
-    solid = [i for i in range(n) if kind[i] != -1 and words[i] + base[i, 2] > 0]
-    prev = {b: a for a, b in zip(solid, solid[1:], strict=False)}
-    follow = {a: b for a, b in zip(solid, solid[1:], strict=False)}
-    last_solid, box, heading = -1, 99, 99
-    for i in range(n):
-        p = prev.get(i, last_solid if i not in prev else -1)
-        q = follow.get(i) if i in follow else next((j for j in solid if j > i), -1) if kind[i] == -1 or words[i] == 0 else -1
-        for at, j in ((14, p), (19, q)):
-            out[i, at : at + 5] = (words[j], base[j, 1], subj[j], kind[j], ends[j]) if j is not None and j >= 0 else (-1, -1, -1, -9, -1)
-        if i in prev or i in follow:
-            last_solid = i
-        box, heading = (0, heading) if kind[i] == -2 else (box, 0) if kind[i] == 2 else (box + 1, heading + 1)
-        if kind[i] == 2 or (subj[i] and sentence[i]):
-            box = 99
-        out[i, 24], out[i, 25] = min(box, 99), min(heading, 99)
-    if len(core):
-        pos = np.arange(n)
-        out[:, 26], out[:, 27] = pos - core[0], core[-1] - pos
-        out[:, 28] = np.abs(pos[:, None] - core[None, :]).min(axis=1)
-    else:
-        out[:, 26:29] = -99, -99, 99
-    out[:, 29] = bool(sub)
-    return out
+            parts = _PIECE.split(f)
+            for c in dict.fromkeys([*parts, f]):
+                for name in dict.fromkeys((c, _TAIL.sub("", c))):
+                    if 1 < len(name) <= 40:
+                        pieces.setdefault(name, []).append((i, len(parts) == 1, name != c or " < " in f))
+        best, score, at = "", 0.0, -1
+        counts = occurrences(list(pieces), told)
+        for name, n in counts.items():
+            for i, alone, tail in pieces[name]:
+                # a block of its own that text about it follows is a title rather than a link to another page
+                nxt = next((j for j in range(i + 1, min(b, i + 4)) if self.text[j]), -1)
+                s = n + 0.8 * (alone and nxt >= 0 and name in self.forms[nxt]) + 0.3 * tail + 0.2 * alone - 0.002 * min(i - a, 100)
+                if s > score:
+                    best, score, at = name, s, i if alone else -1
+        n = counts.get(best, 0)
+        if best and at < 0:
+            at = next((i for i in range(a, b) if self.solid[i] and " < " not in self.forms[i] and _TAIL.sub("", self.forms[i]) == best), -1)
+        if len(told) >= 3 and n < 0.4 * len(told):
+            grams: Counter = Counter()
+            for t in told:
+                names = _NAMES.findall(t)
+                # names where there are capitals, else long words; any run of letters in scripts that do not part words
+                grams.update(set(names) if names else {y for x in _CLAUSE.split(t) for y in ([x.lower()] * (len(x) > 4) if x.isascii() else [x[k : k + m] for m in (3, 4, 5, 6, 8, 10) for k in range(len(x) - m + 1)])})
+            top, m = max(grams.items(), key=lambda x: (x[1], len(x[0]), x[0]), default=("", 0))
+            if m >= max(3, 0.5 * len(told), n + 2):
+                return top, -1
+        return best, at
+
+    def key(self, i: int) -> str:
+        """What :func:`templates` counts a block under: its text with the page's topic and all numbers masked."""
+        f, topic = self.forms[i], self.topics[self.page[i]]
+        return _NUMBER.sub("0", f.replace(topic, "\0") if topic else f)
+
+    def core(self) -> np.ndarray:
+        """Running text and entries that are surely part of what the page is about."""
+        return self.text & ((self.own["topic"] > 0) & (self.own["crumb"] == 0) | (self.own["entry"] > 0) & (self.own["numbered"] == 0))
+
+    def around(self) -> dict[str, np.ndarray]:
+        """Where each block stands: the solid blocks before and after it (-1 for none), and its distance to
+        the core on both sides in solid blocks."""
+        n = len(self.lines)
+        solid = np.flatnonzero(self.solid)
+        rank = np.cumsum(self.solid) - 1  # rank of the last solid block up to here
+        page = self.page
+        out = {}
+        for name, step in (("prev", -1), ("prev2", -2), ("next", 1), ("next2", 2)):
+            k = rank + step + ((~self.solid) & (step < 0)).astype(int)
+            ok = (k >= 0) & (k < len(solid))
+            j = np.where(ok, solid[np.clip(k, 0, max(0, len(solid) - 1))], -1) if len(solid) else np.full(n, -1)
+            out[name] = np.where((j >= 0) & (page[j] == page), j, -1)
+        core = self.core()
+        at = np.where(core, np.arange(n), -1)
+        last = np.maximum.accumulate(at) if n else at
+        first = np.where(core, np.arange(n), n)
+        nxt = np.minimum.accumulate(first[::-1])[::-1] if n else first
+        before = (last >= 0) & (page[np.maximum(last, 0)] == page)
+        after = (nxt < n) & (page[np.minimum(nxt, n - 1)] == page)
+        out["before"] = np.where(before, rank - rank[np.maximum(last, 0)], 99)
+        out["after"] = np.where(after, rank[np.minimum(nxt, n - 1)] - rank, 99)
+        out["core"] = core
+        return out
+
+
+def context(blocks: Blocks) -> tuple[list[str], np.ndarray]:
+    """The short blocks and, for each, whether it stands inside the core, before running text of the topic (at
+    most one block between), and right after such text: what :func:`templates` counts."""
+    at = blocks.around()
+    short = np.flatnonzero(blocks.solid & (blocks.size <= SHORT))
+    core = at["core"]
+    core_at = lambda j: (j >= 0) & core[np.maximum(j, 0)]
+    inside = (at["before"] < 99) & (at["after"] < 99)
+    before = core_at(at["next"]) | core_at(at["next2"])
+    after = core_at(at["prev"])
+    return [blocks.key(i) for i in short], np.stack([inside, before, after], 1)[short].astype(np.int64)
+
+
+def features(texts: Sequence[str], known: Mapping[str, Sequence[float]] | None = None) -> tuple[Blocks, np.ndarray]:
+    """The blocks of ``texts`` and one row of FEATURES for each. ``known``: what :func:`templates` found."""
+    b = Blocks(texts)
+    n = len(b.lines)
+    at = b.around()
+    own = {**b.own, "text": b.text.astype(float), "core": at["core"].astype(float)}
+    own["words"] = np.minimum(own["words"], 100)
+    stats = np.full((n, len(_STATS)), -1.0)
+    if known:
+        for i in np.flatnonzero(b.solid & (b.size <= SHORT)).tolist():
+            if (s := known.get(b.key(i))) is not None:
+                stats[i] = s
+    cols = [own[k] for k in _OWN] + [own["text"]]
+    for who in ("prev", "prev2", "next", "next2"):
+        j = at[who]
+        cols += [np.where(j >= 0, own[k][np.maximum(j, 0)], -1) for k in (_FAR if who.endswith("2") else _NEAR)]
+    cols += [np.minimum(at["before"], 20), np.minimum(at["after"], 20), ((at["before"] < 99) & (at["after"] < 99)).astype(float), own["core"]]
+    cols += [stats[:, k] for k in range(len(_STATS))]
+    for who in ("prev", "next"):
+        j = at[who]
+        cols += [np.where(j >= 0, stats[np.maximum(j, 0), _STATS.index(k)], -2) for k in _NEAR_STATS]
+    return b, np.stack(cols, 1).round(3) if n else np.zeros((0, len(FEATURES)))
 
 
 class Tree:
     """A CART decision tree (Gini) for 0/1 labels."""
 
-    def __init__(self, depth: int = 10, least: int = 3):
-        self.depth, self.least, self.nodes = depth, least, []
+    def __init__(self, depth: int = 12, least: int = 25):
+        self.depth, self.least, self.nodes = depth, least, np.zeros((0, 5))
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Tree:
-        self.nodes = []
-        self._grow(x, y.astype(float), 0)
+        nodes: list[list] = []
+        self._grow(nodes, x, y.astype(float), 0)
+        self.nodes = np.array(nodes)
         return self
 
-    def _grow(self, x: np.ndarray, y: np.ndarray, depth: int) -> int:
-        me = len(self.nodes)
-        self.nodes.append([-1, 0.0, -1, -1, float(y.mean()) if len(y) else 0.0])
+    def _grow(self, nodes: list[list], x: np.ndarray, y: np.ndarray, depth: int) -> int:
+        me = len(nodes)
+        nodes.append([-1, 0.0, -1, -1, float(y.mean()) if len(y) else 0.0])
         if depth >= self.depth or len(y) < 2 * self.least or y.min() == y.max():
             return me
         best = (1e-9, -1, 0.0)
@@ -225,15 +281,15 @@ class Tree:
         if best[1] < 0:
             return me
         left = x[:, best[1]] <= best[2]
-        self.nodes[me][:2] = best[1:]
-        self.nodes[me][2] = self._grow(x[left], y[left], depth + 1)
-        self.nodes[me][3] = self._grow(x[~left], y[~left], depth + 1)
+        nodes[me][:2] = best[1:]
+        nodes[me][2] = self._grow(nodes, x[left], y[left], depth + 1)
+        nodes[me][3] = self._grow(nodes, x[~left], y[~left], depth + 1)
         return me
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         """The share of content in each row's leaf."""
         at = np.zeros(len(x), np.int64)
-        nodes = np.array(self.nodes)
+        nodes = self.nodes
         feature, cut, left, right = nodes[:, 0].astype(int), nodes[:, 1], nodes[:, 2].astype(int), nodes[:, 3].astype(int)
         go = np.flatnonzero(feature[at] >= 0)
         while len(go):
@@ -246,34 +302,69 @@ class Tree:
 def trained(path: Path | str = LABELS) -> Tree:
     """The tree of the labelled table at ``path`` (columns FEATURES and ``content``)."""
     with open(path, encoding="utf-8") as f:
-        rows = list(csv.reader(f))[1:]
+        head, *rows = csv.reader(f)
+    if head != [*FEATURES, "content"]:
+        raise ValueError(f"{path} has other columns")
     data = np.array(rows, float)
     return Tree().fit(data[:, :-1], data[:, -1])
 
 
-def content_lines(pages: DataFrame, key: str, text: str, tree: Tree | None = None, threshold: float = 0.5) -> DataFrame:
+def _chunks(texts: Sequence[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """``(place of the first, texts)`` of about CHUNK characters, or one longer text."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or "") > CHUNK:
+            yield at, [x or "" for x in texts[at:i]]
+            at, size = i, 0
+        size += len(t or "")
+    if at < len(texts):
+        yield at, [x or "" for x in texts[at:]]
+
+
+def templates(pages: DataFrame, text: str) -> dict[str, tuple[float, ...]]:
+    """What sites print again and again: masked short block -> its share of all pages, and of its occurrences
+    the shares inside the core, before and after text of the topic.
+
+    Counted over all pages; blocks of at least ``TEMPLATE_PAGES`` occurrences and a ``TEMPLATE_SHARE`` of all
+    pages are kept, so no more entries come to the driver than the inverse of that share times the short blocks
+    of an average page. Each task sends one row for each different block of its pages.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["block", "n", "inside", "before", "after"]
+        for b in batches:
+            for _, part in _chunks(b.column(0).to_pylist()):
+                keys, x = context(Blocks(part))
+                u, inv = np.unique(np.array(keys, object).astype(str), return_inverse=True) if keys else (np.zeros(0, str), np.zeros(0, int))
+                cols = [np.bincount(inv, minlength=len(u)), *(np.bincount(inv, x[:, k], len(u)) for k in range(3))]
+                pages_row = [len(part), 0, 0, 0]
+                yield pa.RecordBatch.from_arrays([pa.array([*u.tolist(), None], pa.string()), *(pa.array([*c.astype(np.int64).tolist(), p], pa.int64()) for c, p in zip(cols, pages_row, strict=True))], names=names)
+
+    rows = pages.select(F.col(f"`{text}`").alias("t")).where("t <> ''").mapInArrow(run, "block string, n bigint, inside bigint, before bigint, after bigint")
+    sums = rows.groupBy("block").agg(*[F.sum(c).alias(c) for c in ("n", "inside", "before", "after")])
+    total = sums.where("block is null").select(F.col("n").alias("total"))
+    kept = sums.where("block is not null").crossJoin(F.broadcast(total)).where((F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= F.col("total") * TEMPLATE_SHARE))
+    return {r["block"]: tuple(round(float(v), 3) for v in (min(r["n"] / r["total"], 1), r["inside"] / r["n"], r["before"] / r["n"], r["after"] / r["n"])) for r in kept.collect()}
+
+
+def content_lines(pages: DataFrame, key: str, text: str, tree: Tree | None = None, threshold: float = 0.5, known: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
     """``(key, line_no, line, score)`` of every line of ``pages[text]`` that is main content; lines count from 1.
 
+    ``known`` is the result of :func:`templates`, made from ``pages`` if not given (an empty one is allowed).
     Null and empty texts give no rows; a page without an article gives none; repeated pages are repeated.
     Other columns are dropped. Whole texts are read, however long.
     """
-    tree = tree or trained()
+    sent = pages.sparkSession.sparkContext.broadcast((tree or trained(), templates(pages, text) if known is None else dict(known)))
     schema = T.StructType([T.StructField(key, pages.schema[key].dataType), T.StructField("line_no", T.LongType()), T.StructField("line", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, nos, lines, scores = [], [], [], []
-            for i, t in enumerate(b.column(text).to_pylist()):
-                if not t or not t.strip():
-                    continue
-                p = tree.predict(features(t))
-                ls = t.split("\n")
-                for j in np.flatnonzero(p > threshold):
-                    if ls[j].strip():
-                        keys.append(i)
-                        nos.append(int(j) + 1)
-                        lines.append(ls[j])
-                        scores.append(float(p[j]))
-            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(keys, pa.int64())), pa.array(nos, pa.int64()), pa.array(lines, pa.string()), pa.array(scores, pa.float64())], names=[key, "line_no", "line", "score"])
-
-    return pages.select(f"`{key}`", f"`{text}`").mapInArrow(run, schema)
+        model, stats = sent.value
+        for batch in batches:
+            for at, part in _chunks(batch.column(text).to_pylist()):
+                b, x = features(part, stats)
+                score = model.predict(x)
+                hit = np.flatnonzero((score > threshold) & b.solid)
+                page = b.page[hit]
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(at + page)), pa.array(hit - b.start[page] + 1), pa.array([b.lines[i] for i in hit.tolist()], pa.string()), pa.array(score[hit])], names=schema.names)
+
+    return pages.select(f"`{key}`", f"`{text}`").where(F.col(f"`{text}`") != "").mapInArrow(run, schema)

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from pathlib import Path
 
 import numpy as np
@@ -229,35 +230,92 @@ PAGE = """首页 | 帮助中心 | 最近修改 | 注册 | 登录
 返回顶部"""
 
 
+# a page of another kind of site, in words that no page of the labelled table has
+OTHER = """Home | Products | Pricing | Blog | About us | Careers
+Sign in  Create account  Help
+Lighthouses of the northern coast
+History
+The lighthouses of the northern coast were built between 1830 and 1912, when trade with the islands grew. Most of them replaced open fires that fishermen had kept on the cliffs for centuries.
+The first keeper, a retired captain, lived alone in the tower for eleven years and recorded every storm in a diary that is now in the town archive.
+Design
+Each of the lighthouses has a round tower of granite blocks that narrows toward the lantern. The walls are two metres thick at the base, which is why they still stand after many winter gales.
+The lamps burned oil at first, and later gas; electric light came to the northern coast only in the twenties.
+Visitors may climb four of the lighthouses in summer, but the stairs are steep and there is no lift.
+Related articles
+Harbour walls
+Tide tables
+The best beaches for families...
+Subscribe to our newsletter
+Privacy policy | Terms of use | Contact
+(c) 2023 Coast Guide. All rights reserved"""
+
+
+def _content(text, known=None):
+    b, x = boilerplate.features([text], known)
+    return (np.flatnonzero((boilerplate.trained().predict(x) > 0.5) & b.solid) + 1).tolist()
+
+
 def test_page_content():
-    tree = boilerplate.trained()
-    p = tree.predict(boilerplate.features(PAGE)) > 0.5
-    assert (np.flatnonzero(p) + 1).tolist() == [6, 7, 9, 10, 11, 13, 14]
+    assert _content(PAGE) == [6, 7, 9, 10, 11, 13, 14]
+    # the sentence that does not speak of lighthouses is lost, nothing of the site's own comes in
+    for page in (OTHER, OTHER.replace("History", "Vergangenes").replace("Design", "Form")):
+        assert _content(page) == [3, 4, 5, 7, 8, 9, 10]
+
 
+def test_topic():
+    assert boilerplate.Blocks([PAGE]).topics == ["千纸一华"]
+    b = boilerplate.Blocks(["", "[编辑]", "x < Mira Acre\nMira Acre sang all night, and the whole town listened to the song.\nThen Mira Acre left for the coast in the early morning of May."])
+    assert b.topics == ["", "", "Mira Acre"]
 
-def test_subject():
-    assert boilerplate.subject_of(PAGE.split("\n")) == ("千纸一华", 5)
-    assert boilerplate.subject_of([""]) == ("", -1) and boilerplate.subject_of(["[编辑]"]) == ("", -1)
 
+def test_occurrences():
+    rng = random.Random(1)
+    names = sorted({"".join(rng.choices("ab", k=rng.randint(1, 4))) for _ in range(40)})
+    texts = ["".join(rng.choices("ab", k=rng.randint(0, 9))) for _ in range(300)]
+    want = {n: sum(n in t for t in texts) for n in names if any(n in t for t in texts)}
+    assert boilerplate.occurrences(names, texts) == want
+    assert boilerplate.occurrences(names, texts[:40]) == {n: c for n in names if (c := sum(n in t for t in texts[:40]))}
+    assert boilerplate.occurrences([], texts) == {} == boilerplate.occurrences(names, [])
 
-@pytest.mark.parametrize("text", ["", "\n", "[编辑]", "返回顶部\n[编辑]", "概要", "概要\n", "大家都在看", "x", "。", "a < b", "\t　", "≪" * 5000])
+
+@pytest.mark.parametrize("text", ["", "\n", "[编辑]", "返回顶部\n[编辑]", "概要", "概要\n", "大家都在看", "x", "。", "a < b", "\t　", "≪" * 5000, "| | |", " · ", "a\x00b"])
 def test_odd_pages(text):
-    tree = boilerplate.trained()
-    assert len(tree.predict(boilerplate.features(text))) == text.count("\n") + 1
+    b, x = boilerplate.features([text, PAGE, text])
+    assert x.shape == (2 * (text.count("\n") + 1) + PAGE.count("\n") + 1, len(boilerplate.FEATURES))
+    assert np.isfinite(x).all() and len(boilerplate.trained().predict(x)) == len(b.lines)
+    assert (x[: text.count("\n") + 1] == x[-text.count("\n") - 1 :]).all()  # a page does not see its neighbours
+
+
+def test_long_page():
+    lines = ["Home | Log in", "Nine Lanes"] + ["Nine Lanes went on and on that day, number %d." % i for i in range(40_000)] + ["short %d" % i for i in range(20_000)]
+    began = time.time()
+    got = _content("\n".join(lines))
+    assert time.time() - began < 60 and set(range(3, 40_000)) <= set(got)
 
 
 def test_tree_learns_held_out_rows():
     rows = np.genfromtxt(boilerplate.LABELS, delimiter=",", skip_header=1)
-    train, test = rows[: len(rows) // 2], rows[len(rows) // 2 :]
+    train, test = rows[::2], rows[1::2]
     tree = boilerplate.Tree().fit(train[:, :-1], train[:, -1])
-    assert ((tree.predict(test[:, :-1]) > 0.5) == test[:, -1]).mean() > 0.97
-    assert Path(boilerplate.LABELS).stat().st_size < 500_000
+    assert ((tree.predict(test[:, :-1]) > 0.5) == test[:, -1]).mean() > 0.95
+    assert Path(boilerplate.LABELS).stat().st_size < 3_000_000
+
+
+def test_repeated_blocks_are_counted(spark, monkeypatch):
+    pages = [(i, f"Menu\nNo. {i}\nTopic {i}x\nTopic {i}x is told in a sentence that is long enough to count.\nmore") for i in range(6)]
+    df = spark.createDataFrame([*pages, (9, None), (10, "")], "id int, text string")
+    known = boilerplate.templates(df, "text")
+    assert known["Menu"] == (1.0, 0.0, 0.0, 0.0) and known["more"] == (1.0, 0.0, 0.0, 1.0)
+    assert known["No. 0"] == (1.0, 0.0, 1.0, 0.0) and known["\0"][2] == 1.0  # numbers and the topic are masked
+    monkeypatch.setattr(boilerplate, "TEMPLATE_SHARE", 1.1)
+    assert boilerplate.templates(df, "text") == {} == boilerplate.templates(df.limit(0), "text")
 
 
 def test_pages_table(spark):
-    df = spark.createDataFrame([(1, PAGE, "q"), (1, PAGE, "q"), (2, None, "q"), (3, "", "q"), (4, "首页\n帮助中心", "q"), (5, "\n".join(["首页 | 登录"] * 3000), "q")], "id int, text string, line string")
+    df = spark.createDataFrame([(1, PAGE, "q"), (1, PAGE, "q"), (2, None, "q"), (3, "", "q"), (4, "首页\n帮助中心", "q"), (5, "\n".join(["首页 | 登录"] * 3000), "q"), (6, OTHER, "q")], "id int, text string, line string")
     got = boilerplate.content_lines(df, "id", "text").collect()
-    assert {r.id for r in got} == {1} and len(got) == 14
+    assert {r.id for r in got} == {1, 6} and sum(r.id == 1 for r in got) == 14
+    assert sorted(r.line_no for r in got if r.id == 6) == [3, 4, 5, 7, 8, 9, 10] and {r.line for r in got if r.id == 6} < set(OTHER.split("\n"))
     assert boilerplate.content_lines(df.limit(0), "id", "text").count() == 0
 
 
@@ -265,8 +323,8 @@ def test_labels_of_blocks(tmp_path):
     from pollweave.llm import label_blocks
 
     assert (np.flatnonzero(label_blocks.labels(PAGE)) + 1).tolist() == [6, 7, 9, 10, 11, 13, 14]
-    n = label_blocks.write_table([PAGE, PAGE], str(tmp_path / "t.csv"))
-    assert n == 16 and boilerplate.trained(tmp_path / "t.csv").predict(boilerplate.features(PAGE)).shape == (16,)
+    n = label_blocks.write_table([PAGE, PAGE], str(tmp_path / "t.csv"), {}, bare=0)
+    assert n == 16 and boilerplate.trained(tmp_path / "t.csv").predict(boilerplate.features([PAGE])[1]).shape == (16,)
 
 
 def test_enumeration_commas_in_prose():
@@ -296,8 +354,8 @@ def test_passages_with_changes_at_the_ends():
     assert found(text[:20] + text[21:24] + "Ω" + text[24:]) == 44  # one missing, one put in, two changed
 
 
-def test_subject_is_sought_in_all_sentences():
+def test_topic_is_sought_in_all_sentences():
     rnd = random.Random(3)
     noise = lambda n: "".join(chr(0x5000 + rnd.randrange(8000)) for _ in range(n))
     lines = [noise(20) + "。" for _ in range(90)] + [noise(9) + "雾岬椿姬丸子" + noise(9) + "。" for _ in range(200)]
-    assert boilerplate.subject_of(lines) == ("雾岬椿姬丸子", -1)
+    assert boilerplate.Blocks(["\n".join(lines)]).topics == ["雾岬椿姬丸子"]
