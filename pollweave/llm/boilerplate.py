@@ -335,10 +335,11 @@ def templates(pages: DataFrame, text: str) -> dict[str, tuple[float, ...]]:
         for b in batches:
             for _, part in _chunks(b.column(0).to_pylist()):
                 keys, x = context(Blocks(part))
-                u, inv = np.unique(np.array(keys, object).astype(str), return_inverse=True) if keys else (np.zeros(0, str), np.zeros(0, int))
+                kinds = pa.array(keys, pa.string()).dictionary_encode()
+                u, inv = kinds.dictionary.to_pylist(), kinds.indices.to_numpy(zero_copy_only=False)
                 cols = [np.bincount(inv, minlength=len(u)), *(np.bincount(inv, x[:, k], len(u)) for k in range(3))]
                 pages_row = [len(part), 0, 0, 0]
-                yield pa.RecordBatch.from_arrays([pa.array([*u.tolist(), None], pa.string()), *(pa.array([*c.astype(np.int64).tolist(), p], pa.int64()) for c, p in zip(cols, pages_row, strict=True))], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array([*u, None], pa.string()), *(pa.array([*c.astype(np.int64).tolist(), p], pa.int64()) for c, p in zip(cols, pages_row, strict=True))], names=names)
 
     rows = pages.select(F.col(f"`{text}`").alias("t")).where("t <> ''").mapInArrow(run, "block string, n bigint, inside bigint, before bigint, after bigint")
     sums = rows.groupBy("block").agg(*[F.sum(c).alias(c) for c in ("n", "inside", "before", "after")])
