@@ -6,7 +6,9 @@ A *file* is one sheet of one book; each record is a JSON object. The operator
 2. resolves each header to a field by the migration rules of the book's kind,
 3. fingerprints the file's schema and numbers the versions of a book,
 4. reports each change against the preceding file of the same book,
-5. routes the records through rename, default and cast rules into one table per kind.
+5. derives for each fingerprint the chain of explicit steps (rename, cast, default, keep) that leads a file of
+   that schema into the consistent table,
+6. routes the records of each file through the chain of its fingerprint into one table per kind.
 
 Everything is aggregated per file before files are compared, so the only data that meets in one
 window partition is one row per sheet of a book.
@@ -21,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pollweave.session import broadcast_if_small
+
 TYPES = ("whole", "decimal", "string", "array", "other")
 
 
@@ -205,6 +209,54 @@ def changes(schemas: DataFrame) -> DataFrame:
     return v.select("book", "sheet_no", F.explode(F.expr(expr)).alias("c")).select("book", "sheet_no", "c.*")
 
 
+#: Types of values that a field's type takes without a cast.
+_TAKES = {"bigint": ("whole",), "double": ("decimal", "whole"), "string": ("string",)}
+
+
+def chains(schemas: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -> DataFrame:
+    """``kind, fingerprint, n_files, means map<header, field>, steps``: one row for each schema that any file has.
+
+    ``steps`` is an array of ``op, header, field, value`` in the order in which they apply: ``rename`` (a header
+    that means a field of another name), ``merge`` (a further header of a field that has several; the one named like the
+    field comes first), ``cast`` (values come as ``value``, the field has another type), ``default`` (a field that the
+    schema lacks, with the rule's default), ``keep`` (a header that means no field; its values go to ``extra``).
+    """
+    v = versions(schemas).withColumn("kind", book_kind(F.col("book")))
+    one = v.groupBy("kind", "fingerprint").agg(F.count("*").alias("n_files"), F.any_value("columns").alias("columns"))
+    heads = F.transform("columns", lambda x: F.struct(x["header"].alias("header"), resolve(F.col("kind"), x["header"], migrations).alias("field"), x["type"].alias("type")))
+    step = lambda op, h, f, val: F.struct(F.lit(op).alias("op"), h.cast("string").alias("header"), f.cast("string").alias("field"), val.cast("string").alias("value"))
+    none = F.lit(None)
+    absent = F.expr("cast(array() as array<struct<op string, header string, field string, value string>>)")
+    is_field = casts = lambda x: F.lit(False)
+    for m in migrations:
+        here = F.col("kind") == m.book_kind
+        is_field = lambda x, f=is_field, here=here, m=m: f(x) | (here & x["field"].isin([r.name for r in m.rules]))
+        for r in m.rules:
+            casts = lambda x, f=casts, here=here, r=r: f(x) | (here & (x["field"] == r.name) & ~x["type"].isin(*_TAKES[r.kind]))
+            lacks = here & ~F.array_contains(F.transform("heads", lambda x: x["field"]), r.name)
+            absent = F.concat(absent, F.when(lacks, F.array(step("default", none, F.lit(r.name), F.lit(r.default)))).otherwise(F.expr("cast(array() as array<struct<op string, header string, field string, value string>>)")))
+    one = one.withColumn("heads", F.array_sort(heads))
+    first = lambda x: F.array_min(F.transform(F.filter("heads", lambda y: y["field"] == x["field"]), lambda y: F.struct((y["header"] != y["field"]).alias("o"), y["header"].alias("h"))))["h"]
+    merged = lambda x: is_field(x) & (first(x) != x["header"])
+    steps = F.concat(
+        F.transform(F.filter("heads", lambda x: (x["field"] != x["header"]) & ~merged(x)), lambda x: step("rename", x["header"], x["field"], none)),
+        F.transform(F.filter("heads", merged), lambda x: step("merge", x["header"], x["field"], none)),
+        F.transform(F.filter("heads", lambda x: casts(x)), lambda x: step("cast", x["header"], x["field"], x["type"])),
+        absent,
+        F.transform(F.filter("heads", lambda x: ~is_field(x)), lambda x: step("keep", x["header"], x["field"], none)),
+    )
+    means = F.map_from_entries(F.transform("heads", lambda x: F.struct(x["header"], x["field"])))
+    return one.select("kind", "fingerprint", "n_files", means.alias("means"), steps.alias("steps"))
+
+
+def routes(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -> DataFrame:
+    """``book, sheet_no, version, fingerprint, __f``: for each file the chain it goes through, as header -> field. One
+    row per file."""
+    schemas = file_schemas(records, migrations)
+    v = versions(schemas).select("book", "sheet_no", "version", "fingerprint", book_kind(F.col("book")).alias("kind"))
+    return v.join(chains(schemas, migrations).select("kind", "fingerprint", F.col("means").alias("__f")), ["kind", "fingerprint"]).drop("kind")
+
+
 def _entries(text: Column) -> Column:
     """The entries of a value that is a JSON list, else null."""
     return F.when(text.startswith("["), F.from_json(text, "array<string>"))
@@ -225,23 +277,21 @@ def _objects(records: DataFrame) -> DataFrame:
     return records.select("rec_id", "book", "sheet_no", "row_no", F.from_json("record_json", "map<string,string>").alias("__m")).where("__m is not null")
 
 
-def _routed(records: DataFrame, migration: Migration) -> DataFrame:
-    """The records of one kind with ``__m`` (header -> text), ``__f`` (header -> field) and ``__won`` (field -> header
-    that gives its value: the one named like the field if it has a value, else the first that has one)."""
-    one = _objects(records.where(book_kind(F.col("book")) == migration.book_kind))
-    # keys are resolved once per record
-    routed = one.withColumn("__f", F.map_from_entries(F.expr("transform(map_entries(__m), e -> struct(e.key as key, e.key as value))")))
-    routed = routed.withColumn("__f", F.transform_values("__f", lambda k, v: resolve(F.lit(migration.book_kind), k, (migration,))))
+def _routed(records: DataFrame, migration: Migration, files: DataFrame) -> DataFrame:
+    """The records of one kind with ``__m`` (header -> text), ``__f`` (header -> field, by the chain of the record's
+    file) and ``__won`` (field -> header that gives its value: the one named like the field if it has a value, else the
+    first that has one)."""
+    routed = _objects(records.where(book_kind(F.col("book")) == migration.book_kind)).join(files, ["book", "sheet_no"])
     order = lambda r, h: F.struct(F.try_element_at("__m", h).isNull().alias("n"), (h != F.lit(r.name)).alias("o"), h.alias("h"))
-    heads = lambda r: F.map_keys(F.map_filter("__f", lambda k, v: v == F.lit(r.name)))
+    heads = lambda r: F.filter(F.map_keys("__m"), lambda h: F.try_element_at("__f", h) == F.lit(r.name))
     first = lambda r: F.array_min(F.transform(heads(r), lambda h: order(r, h)))["h"]
     won = [x for r in migration.rules for x in (F.lit(r.name), first(r))]
     return routed.withColumn("__won", F.create_map(*won) if won else F.expr("cast(map() as map<string,string>)"))
 
 
-def _unified(records: DataFrame, migration: Migration) -> DataFrame:
+def _unified(records: DataFrame, migration: Migration, files: DataFrame) -> DataFrame:
     """:func:`unified` with the columns of :func:`_routed`."""
-    routed = _routed(records, migration)
+    routed = _routed(records, migration, files)
     fields, failed = [], []
     for r in migration.rules:
         head = F.try_element_at("__won", F.lit(r.name))
@@ -264,12 +314,12 @@ def unified(records: DataFrame, migration: Migration) -> DataFrame:
     no field of the kind, the further headers of a field that has several, values that the type cannot hold, and,
     as a JSON list, what follows the first entry of a list.
 
-    A narrow plan: each record is routed by its own keys, so no file needs to be looked up. Missing
-    fields take the rule's default; values that cannot be read as the type become null, a whole number loses
+    Each record goes through the chain of its file (see :func:`routes`; one row per file, broadcast if its size
+    allows). Missing fields take the rule's default; values that cannot be read as the type become null, a whole number loses
     its fraction, and either stays in ``extra`` as it was delivered. Repeated
     records stay repeated. Records that are no JSON object give no row.
     """
-    return _unified(records, migration).drop("__f", "__won")
+    return _unified(records, migration, broadcast_if_small(routes(records, (migration,)))).drop("__f", "__won", "version", "fingerprint")
 
 
 def long_form(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -> DataFrame:
@@ -280,6 +330,7 @@ def long_form(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS
     record gives that field. Kinds without rules have a row for each header.
     """
     keys = ["rec_id", "kind", "book", "sheet_no", "row_no"]
+    files = broadcast_if_small(routes(records, migrations))
     pair = lambda f, v: F.struct(f.alias("field"), v.alias("value"))
     parts = []
     for m in migrations:
@@ -292,7 +343,7 @@ def long_form(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS
             return F.when(won, F.coalesce(F.transform(_entries(text), lambda x: pair(means, x)), F.array(pair(means, text)))).otherwise(F.array(pair(F.when(means.isin(names), head).otherwise(means), text)))
 
         more = F.flatten(F.transform(F.map_entries("extra"), other))
-        parts.append(_unified(records, m).select("rec_id", F.lit(m.book_kind).alias("kind"), "book", "sheet_no", "row_no", F.explode(F.concat(fields, more)).alias("p")).select(*keys, "p.*"))
+        parts.append(_unified(records, m, files).select("rec_id", F.lit(m.book_kind).alias("kind"), "book", "sheet_no", "row_no", F.explode(F.concat(fields, more)).alias("p")).select(*keys, "p.*"))
     kind = book_kind(F.col("book"))
     rest = _objects(records.where(~F.coalesce(kind.isin([m.book_kind for m in migrations]), F.lit(False))))
     return reduce(DataFrame.unionByName, [*parts, rest.select("rec_id", kind.alias("kind"), "book", "sheet_no", "row_no", F.explode("__m").alias("field", "value"))])

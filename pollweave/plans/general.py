@@ -43,12 +43,18 @@ def p2_versions(spark: SparkSession, d: str) -> DataFrame:
     return v.select("book", "sheet_no", "version", "fingerprint", F.size("columns").cast("bigint").alias("n_columns"))
 
 
+def p2_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The chain of every schema that any file has: its explicit steps in order, and how many files go through it."""
+    c = drift.chains(_schemas(spark, d))
+    return c.select("kind", "fingerprint", "n_files", F.posexplode("steps").alias("step_no", "s")).select("kind", "fingerprint", "n_files", (F.col("step_no") + 1).alias("step_no"), "s.op", "s.header", "s.field", "s.value")
+
+
 def p2_unified(spark: SparkSession, d: str) -> DataFrame:
     """The consistent tables of all kinds in long form, with every value read (see :func:`drift.long_form`)."""
     return drift.long_form(table(spark, d, "sheet_rows", "rec_id", "book", "sheet_no", "row_no", "record_json"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_flags": p1_flags, "p2_found": p2_found, "p2_versions": p2_versions, "p2_unified": p2_unified}
+QUERIES = {"p1_found": p1_found, "p1_flags": p1_flags, "p2_found": p2_found, "p2_versions": p2_versions, "p2_steps": p2_steps, "p2_unified": p2_unified}
 
 
 def _values(pairs: list[tuple[str, str, str]]) -> str:

@@ -50,6 +50,26 @@ def test_unified(spark):
     assert got[1, 2]["译名"] is None and got[4, 1]["extra"] == {"备注": "x"}
 
 
+def test_chains(spark):
+    schemas = drift.file_schemas(_records(spark, [*ROWS, ("vote_music_jp-3", 1, 1, {"排名": 7, "得票数": 7, "译名": "z"}), ("vote_music_jp-3", 2, 1, {"得票数": 1, "票数": "2", "x": 1})]))
+    got = {r["fingerprint"]: r for r in drift.chains(schemas).collect()}
+    files = {(r.book, r.sheet_no): got[r.fingerprint] for r in drift.versions(schemas).collect()}
+    assert len(got) == 8 and files["vote_music_jp-1", 1]["n_files"] == 2  # the same schema in two books
+    steps = lambda b, n: [tuple(s) for s in files[b, n]["steps"] if s["op"] != "default"]
+    assert steps("vote_music_jp-1", 1) == []
+    assert steps("vote_music_jp-1", 2) == [("rename", "rank", "排名", None), ("cast", "rank", "排名", "decimal"), ("cast", "译名", "译名", "array")]
+    assert steps("vote_music_jp-3", 2) == [("merge", "票数", "得票数", None), ("cast", "票数", "得票数", "string"), ("keep", "x", "x", None)]
+    assert steps("other-1", 1) == [("keep", "Ａ ", "Ａ ", None)]
+    assert {s["field"] for s in files["vote_music_jp-3", 2]["steps"] if s["op"] == "default"} == {"排名", "上回名次", "本名票数", "评论数", "曲目", "译名"}
+    assert drift.chains(schemas.limit(0)).count() == 0
+
+
+def test_defaults(spark):
+    m = drift.Migration("k", (drift.Rule("a", "bigint", ("b",), 7), drift.Rule("c", "string", (), "none")))
+    u = drift.unified(_records(spark, [("k-1", 1, 1, {"b": 1}), ("k-1", 2, 1, {"d": 1})]), m)
+    assert sorted((r.sheet_no, r.a, r.c, str(r.extra)) for r in u.collect()) == [(1, 1, "none", "{}"), (2, 7, "none", "{'d': '1'}")]
+
+
 def test_empty(spark):
     assert drift.changes(drift.file_schemas(_records(spark, ROWS).limit(0))).count() == 0
 
