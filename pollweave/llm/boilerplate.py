@@ -72,6 +72,29 @@ def occurrences(names: Sequence[str], texts: Sequence[str]) -> dict[str, int]:
     return dict(Counter(x for t in texts for x in {x for _, x in auto.iter(t)}))
 
 
+def shared_phrase(texts: Sequence[str]) -> tuple[str, int]:
+    """``(phrase, texts that have it)``: names where there are capitals, else long words; in scripts that do not part
+    words the longest run of letters among those that most texts share. Ties go to the larger code points."""
+    grams: Counter = Counter()
+    for t in texts:
+        names = _NAMES.findall(t)
+        grams.update(set(names) if names else {y for x in _CLAUSE.split(t) for y in ([x.lower()] * (len(x) > 4) if x.isascii() else [x[k : k + 3] for k in range(len(x) - 2)])})
+    most = max(grams.values(), default=0)
+    top = max((g for g, n in grams.items() if n == most), default="")
+    if len(top) == 3 and not top.isascii():  # grown as long as no text is lost
+        have = [t for t in texts if top in t]
+        for side in (1, 0):
+            while True:
+                first = have[0]
+                k = first.index(top)
+                c = first[k + len(top) : k + len(top) + 1] if side else first[max(0, k - 1) : k]
+                longer = top + c if side else c + top
+                if not c or _CLAUSE.match(c) or any(longer not in t for t in have):
+                    break
+                top = longer
+    return top, most
+
+
 class Blocks:
     """The blocks of some pages with their own figures; ``page`` numbers the page of each block."""
 
@@ -127,29 +150,34 @@ class Blocks:
         """The topic of each page and the blocks that share it."""
         o = self.own
         self.topics: list[str] = []
-        for p in range(len(self.start) - 1):
-            a, b = int(self.start[p]), int(self.start[p + 1])
-            told = [self.forms[i] for i in range(a, b) if self.text[i] and not o["entry"][i]]
-            topic, at = self._topic(a, b, told)
+        text, starts = self.text.tolist(), self.start.tolist()
+        # blocks that may name the topic, and the running text that may repeat it
+        names = (self.solid & (self.size <= 80) & ~((o["sentences"] > 0) & (o["ends"] > 0)) & (o["bullet"] == 0)).tolist()
+        told_at = (self.text & (o["entry"] == 0)).tolist()
+        for a, b in zip(starts, starts[1:], strict=False):
+            told = [self.forms[i] for i in range(a, b) if told_at[i]]
+            topic, at = self._topic(a, b, told, names, text)
             self.topics.append(topic)
             if topic:
                 low = topic.lower()
-                for i in range(a, b):
-                    o["topic"][i] = low in self.forms[i].lower()
+                o["topic"][a:b] = [low in f.lower() for f in self.forms[a:b]]
                 if at >= 0:
                     o["title"][at] = 1
 
-    def _topic(self, a: int, b: int, told: list[str]) -> tuple[str, int]:
-        """``(topic, its block or -1)`` of the page of blocks a to b: the short piece, alone
-        or among others in a block, that most running text repeats; else the phrase that most of it shares."""
+    def _topic(self, a: int, b: int, told: list[str], names: list[bool], text: list[bool]) -> tuple[str, int]:
+        """``(topic, its block or -1)`` of the page of blocks a to b: the short piece, alone or among others in a
+        block, that most running text repeats; else the phrase that most of it shares."""
+        if not told:
+            return "", -1
         pieces: dict[str, list[tuple[int, bool, bool]]] = {}
         for i in range(a, b):
-            f = self.forms[i]
-            if not f or self.size[i] > 80 or self.own["sentences"][i] and self.own["ends"][i] or self.own["bullet"][i]:
+            if not names[i]:
                 continue
+            f = self.forms[i]
             parts = _PIECE.split(f)
-            for c in dict.fromkeys([*parts, f]):
-                for name in dict.fromkeys((c, _TAIL.sub("", c))):
+            for c in parts if len(parts) == 1 else dict.fromkeys([*parts, f]):
+                tail = _TAIL.sub("", c)
+                for name in (c,) if tail == c else (c, tail):
                     if 1 < len(name) <= 40:
                         pieces.setdefault(name, []).append((i, len(parts) == 1, name != c or " < " in f))
         best, score, at = "", 0.0, -1
@@ -157,20 +185,15 @@ class Blocks:
         for name, n in counts.items():
             for i, alone, tail in pieces[name]:
                 # a block of its own that text about it follows is a title rather than a link to another page
-                nxt = next((j for j in range(i + 1, min(b, i + 4)) if self.text[j]), -1)
+                nxt = next((j for j in range(i + 1, min(b, i + 4)) if text[j]), -1)
                 s = n + 0.8 * (alone and nxt >= 0 and name in self.forms[nxt]) + 0.3 * tail + 0.2 * alone - 0.002 * min(i - a, 100)
                 if s > score:
                     best, score, at = name, s, i if alone else -1
         n = counts.get(best, 0)
         if best and at < 0:
-            at = next((i for i in range(a, b) if self.solid[i] and " < " not in self.forms[i] and _TAIL.sub("", self.forms[i]) == best), -1)
+            at = next((i for i in range(a, b) if names[i] and " < " not in self.forms[i] and _TAIL.sub("", self.forms[i]) == best), -1)
         if len(told) >= 3 and n < 0.4 * len(told):
-            grams: Counter = Counter()
-            for t in told:
-                names = _NAMES.findall(t)
-                # names where there are capitals, else long words; any run of letters in scripts that do not part words
-                grams.update(set(names) if names else {y for x in _CLAUSE.split(t) for y in ([x.lower()] * (len(x) > 4) if x.isascii() else [x[k : k + m] for m in (3, 4, 5, 6, 8, 10) for k in range(len(x) - m + 1)])})
-            top, m = max(grams.items(), key=lambda x: (x[1], len(x[0]), x[0]), default=("", 0))
+            top, m = shared_phrase(told)
             if m >= max(3, 0.5 * len(told), n + 2):
                 return top, -1
         return best, at
@@ -338,14 +361,13 @@ def templates(pages: DataFrame, text: str) -> dict[str, tuple[float, ...]]:
                 kinds = pa.array(keys, pa.string()).dictionary_encode()
                 u, inv = kinds.dictionary.to_pylist(), kinds.indices.to_numpy(zero_copy_only=False)
                 cols = [np.bincount(inv, minlength=len(u)), *(np.bincount(inv, x[:, k], len(u)) for k in range(3))]
-                pages_row = [len(part), 0, 0, 0]
-                yield pa.RecordBatch.from_arrays([pa.array([*u, None], pa.string()), *(pa.array([*c.astype(np.int64).tolist(), p], pa.int64()) for c, p in zip(cols, pages_row, strict=True))], names=names)
-
-    rows = pages.select(F.col(f"`{text}`").alias("t")).where("t <> ''").mapInArrow(run, "block string, n bigint, inside bigint, before bigint, after bigint")
-    sums = rows.groupBy("block").agg(*[F.sum(c).alias(c) for c in ("n", "inside", "before", "after")])
-    total = sums.where("block is null").select(F.col("n").alias("total"))
-    kept = sums.where("block is not null").crossJoin(F.broadcast(total)).where((F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= F.col("total") * TEMPLATE_SHARE))
-    return {r["block"]: tuple(round(float(v), 3) for v in (min(r["n"] / r["total"], 1), r["inside"] / r["n"], r["before"] / r["n"], r["after"] / r["n"])) for r in kept.collect()}
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.string()), *(pa.array(c.astype(np.int64)) for c in cols)], names=names)
+
+    texts = pages.select(F.col(f"`{text}`").alias("t")).where("t <> ''")
+    total = texts.count()
+    sums = texts.mapInArrow(run, "block string, n bigint, inside bigint, before bigint, after bigint").groupBy("block").agg(*[F.sum(c).alias(c) for c in ("n", "inside", "before", "after")])
+    kept = sums.where((F.col("n") >= TEMPLATE_PAGES) & (F.col("n") >= total * TEMPLATE_SHARE))
+    return {r["block"]: tuple(round(float(v), 3) for v in (min(r["n"] / total, 1), r["inside"] / r["n"], r["before"] / r["n"], r["after"] / r["n"])) for r in kept.collect()}
 
 
 def content_lines(pages: DataFrame, key: str, text: str, tree: Tree | None = None, threshold: float = 0.5, known: Mapping[str, Sequence[float]] | None = None) -> DataFrame:
