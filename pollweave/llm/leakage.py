@@ -8,7 +8,10 @@ passage within the bounds. The seeds left are joined to the items' tokens, grown
 tiled greedily, longest first and without overlap. The tiles give the share of the item that is covered
 (in any order) and, chained, the longest passage in sequence within the allowed share of changes.
 
-The corpus is read once and nothing of it is shuffled; items are taken in blocks of bounded size.
+Items of at most ``ITEM_BLOCK`` letters in all are sent to the tasks; the corpus is then read once and nothing of
+it is shuffled. More items stay distributed: a bitmap of their tokens of fixed size is sent instead, only the
+tokens of documents that stand dense in it are shuffled and joined to the items' tokens, and the texts of the
+pairs that share enough of them meet for tiling.
 """
 
 from __future__ import annotations
@@ -25,11 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pollweave.session import broadcast_if_small, written
+
 Q = 5
 MIN_PASSAGE = 40
 MAX_CHANGED = 0.1
-#: Letters and digits of items broadcast at once; more items are taken in further blocks.
+#: Share of an item under tiles, in whatever order, from which a pair counts as covered.
+COVERED = 0.5
+#: Characters of items that are sent to the tasks at most; more items are joined by shuffle.
 ITEM_BLOCK = 4_000_000
+#: Letters in a row that a passage within MAX_CHANGED keeps unchanged at least (0.9 n letters in n / 10 + 1 runs).
+SEED = 8
+#: Bits of the hash that number the places of a bitmap of tokens sent to the tasks.
+MAP_BITS = 26
 #: Characters of documents handled at once in a task.
 CHUNK = 1_000_000
 _BITS = 22
@@ -274,34 +285,41 @@ def aligned(x: np.ndarray, y: np.ndarray, doc_at: np.ndarray, item_at: np.ndarra
 class Finder:
     """Finds the items of an index in documents."""
 
-    def __init__(self, index: Index, least: int = MIN_PASSAGE, share: float = MAX_CHANGED):
-        self.ix, self.least, self.share = index, least, share
+    def __init__(self, index: Index | None, least: int = MIN_PASSAGE, share: float = MAX_CHANGED, cover: float = COVERED, q: int = Q):
+        self.ix, self.least, self.share, self.cover = index, least, share, cover
+        q = index.q if index else q
         self.errors = int(least * share)
         #: tokens that a passage of ``least`` letters keeps under scattered changes, less a margin for clustered ones
-        self.need = max(2, least - index.q + 1 - index.q * self.errors - 4)
+        self.need = max(2, least - q + 1 - q * self.errors - 4)
         self.window = least + self.errors
         #: a passage of n letters with at most share * n changes scores n - 4 share n at least
         self.score = int(least * (1 - 4 * share))
 
-    def seeds(self, x: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(position, text, token)`` of the item tokens that stand close together."""
-        ix = self.ix
-        none = (np.zeros(0, np.int64),) * 3
-        h = grams(x, ix.q)
-        if not len(h):
-            return none
-        hit = ix.bloom[h >> np.uint64(64 - _BITS)]
-        cs = np.empty(len(h) + self.window + 1, np.int32)
+    def dense(self, h: np.ndarray, bits: np.ndarray, shift: int) -> np.ndarray:
+        """Places of the tokens ``h`` that ``bits`` may hold and that stand close together."""
+        hit = bits[h >> np.uint64(shift)]
+        cs = np.empty(len(h) + self.window + 1, np.int64)
         cs[0] = 0
         np.cumsum(hit, out=cs[1 : len(h) + 1])
         cs[len(h) + 1 :] = cs[len(h)]
         dense = cs[self.window :] - cs[: -self.window] >= self.need
         if not dense.any():
-            return none
+            return np.zeros(0, np.int64)
         # a seed counts if a dense window begins within a window's length before it
         dc = np.concatenate([[0], np.cumsum(dense)])
         at = np.flatnonzero(hit)
-        at = at[dc[np.minimum(at + 1, len(dc) - 1)] > dc[np.maximum(at - self.window + 1, 0)]]
+        return at[dc[np.minimum(at + 1, len(dc) - 1)] > dc[np.maximum(at - self.window + 1, 0)]]
+
+    def seeds(self, x: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(position, text, token)`` of the item tokens that stand close together."""
+        ix = self.ix
+        none = (np.zeros(0, np.int64),) * 3
+        h = grams(x, ix.q)
+        if not len(h) or not len(ix.key):
+            return none
+        at = self.dense(h, ix.bloom, 64 - _BITS)
+        if not len(at):
+            return none
         doc = np.searchsorted(start, at, side="right") - 1
         inside = at + ix.q <= start[doc + 1]
         at, doc = at[inside], doc[inside]
@@ -311,7 +329,8 @@ class Finder:
         return at[ok], doc[ok], k[ok]
 
     def candidates(self, x: np.ndarray, start: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """``(text, item, text positions, item positions)`` of the pairs with a well-scoring alignment."""
+        """``(text, item, text positions, item positions)`` of the pairs with a well-scoring alignment, and of those
+        that share the wanted part of the item's tokens in whatever order."""
         ix = self.ix
         at, doc, k = self.seeds(x, start)
         n = ix.n[k] if len(k) else np.zeros(0, np.int64)
@@ -331,11 +350,17 @@ class Finder:
             diag = rel - (dp - start[dc])
             low = int(diag.min())
             width = 2 * self.errors
-            good: set[int] = set()
+            bits = (int(rel.max()) + self.window + 1).bit_length()  # keys of different runs lie farther apart than a window
+            mask = (1 << bits) - 1
+            good = self._covered(pair, rel, bits)
             for shift in (0, self.errors):  # overlapping bands of diagonals
                 band = (diag - low + shift) // width
                 bands = int(band.max()) + 1
-                v = np.sort(((pair * bands + band) << 21) | rel)
+                runs, which = None, pair * bands + band
+                if (int(pair.max()) + 1) * bands >= 1 << (63 - bits):  # numbered anew, as the pair and band leave no room
+                    seen, dense = np.unique(pair, return_inverse=True)
+                    runs, which = np.unique(dense * bands + band, return_inverse=True)
+                v = np.sort((which << bits) | rel)
                 v = v[np.concatenate([[True], v[1:] != v[:-1]])]
                 if len(v) < self.need:
                     continue
@@ -346,8 +371,10 @@ class Finder:
                 # neighbouring windows of one pair and band are one run
                 cut = np.flatnonzero(np.diff(w) > self.window) + 1
                 lo, hi = w[np.concatenate([[0], cut])], w[np.concatenate([cut - 1, [len(w) - 1]])]
-                key, r0, r1 = lo >> 21, lo & 0x1FFFFF, hi & 0x1FFFFF
-                pr = key // bands
+                key, r0, r1 = lo >> bits, lo & mask, hi & mask
+                if runs is not None:
+                    key = runs[key]
+                pr = key // bands if runs is None else seen[key // bands]
                 i, d = pr % len(ix.ids), pr // len(ix.ids)
                 centre = (key % bands) * width - shift + low + width // 2
                 r0 = np.maximum(r0 - self.window, 0)
@@ -364,6 +391,15 @@ class Finder:
                 d, i = divmod(g, len(ix.ids))
                 yield d, i, dp[o] - start[d], rel[o]
 
+    def _covered(self, pair: np.ndarray, rel: np.ndarray, bits: int) -> set[int]:
+        """Pairs in which at least the wanted share of the item's tokens has a seed."""
+        u, which = np.unique(pair, return_inverse=True)
+        both = np.unique((which << bits) | rel) if bits < 40 else np.unique(np.stack([which, rel], 1), axis=0)[:, 0] << bits
+        n = np.bincount(both >> bits, minlength=len(u))
+        item = u % len(self.ix.ids)
+        tokens = self.ix.start[item + 1] - self.ix.start[item] - self.ix.q + 1
+        return set(u[(n >= self.cover * tokens) & (n >= self.need)].tolist())
+
     def find(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, int]]:
         """``(text, item, tiles, covered letters, longest passage)`` of every candidate pair."""
         ix = self.ix
@@ -373,57 +409,121 @@ class Finder:
             yield d, i, len(t), sum(n for _, _, n in t), passage(x[start[d] : start[d + 1]], ix.x[ix.start[i] : ix.start[i + 1]], t, self.least, self.share, ix.q)
 
 
-def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_key: str, item_text: str, least: int = MIN_PASSAGE, share: float = MAX_CHANGED) -> DataFrame:
+def _rows(key: pa.Array, found: list[tuple], id_type: pa.DataType, names: list[str]) -> pa.RecordBatch:
+    """A batch of ``(place of the document, item, ...)`` with the documents' keys in the first column."""
+    cols = [key.take(pa.array([r[0] for r in found], pa.int64())), pa.array([r[1] for r in found], id_type)]
+    return pa.RecordBatch.from_arrays([*cols, *(pa.array([r[j] for r in found], pa.int64()) for j in range(2, len(names)))], names=names)
+
+
+def _parts(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """``(place of the first, texts)`` of about CHUNK characters, or one longer text."""
+    lens = pa.compute.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(lens)
+    at = 0
+    while at < len(lens):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
+        yield at, [t or "" for t in texts.slice(at, to - at).to_pylist()]
+        at = to
+
+
+def _sent(docs: DataFrame, items: DataFrame, schema: T.StructType, id_type: pa.DataType, finder_args: tuple) -> DataFrame:
+    """All items in each task: one narrow pass over the documents."""
+    doc_key, doc_text = docs.columns
+    got = items.orderBy("k").collect()
+    sent = docs.sparkSession.sparkContext.broadcast(Index([r["k"] for r in got], [r["t"] for r in got]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = Finder(sent.value, *finder_args)
+        ix = finder.ix
+        for b in batches:
+            rows: list[tuple] = []
+            for at, part in _parts(b.column(doc_text)):
+                rows += [(at + d, ix.ids[i], n, c, int(ix.start[i + 1] - ix.start[i]), p) for d, i, n, c, p in finder.find(part)]
+            yield _rows(b.column(doc_key), rows, id_type, schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _joined(docs: DataFrame, items: DataFrame, schema: T.StructType, id_type: pa.DataType, finder_args: tuple) -> DataFrame:
+    """Items by shuffle. Runs of SEED letters are joined where a document has enough tokens of items close together,
+    and the texts of the pairs that share one are tiled. A passage of n letters with n / 10 changed has SEED letters
+    in a row unchanged, so no passage is lost; a pair that is covered by shorter runs alone is."""
+    spark = docs.sparkSession
+    doc_key, doc_text = docs.columns
+    finder = Finder(None, *finder_args)
+    shift, words = 64 - MAP_BITS, (1 << MAP_BITS) // 64
+
+    def runs(batches: Iterator[pa.RecordBatch], bits: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """``(n, h)``: key hash and the different seeds of each text; with ``bits`` only those in dense stretches."""
+        for b in batches:
+            for lo, part in _parts(b.column("t")):
+                x, start = letters(part)
+                h = grams(x, SEED)
+                ok = np.ones(len(h), bool)
+                if bits is not None and len(h):
+                    near = np.zeros(len(h) + SEED, bool)
+                    near[finder.dense(grams(x), bits, shift)] = True
+                    for k in range(SEED - Q + 1):  # all tokens of the run are the items'
+                        ok &= near[k : k + len(h)]
+                at = np.flatnonzero(ok)
+                doc = np.searchsorted(start, at, side="right") - 1
+                inside = at + SEED <= start[doc + 1]
+                n = b.column("n").slice(lo, len(part)).to_numpy()[doc[inside]]
+                u = np.unique(np.stack([n, h[at[inside]].view(np.int64)]), axis=1)
+                for k in range(0, u.shape[1], 500_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 500_000]) for c in u], names=["n", "h"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, part in _parts(b.column("t")):
+                p = np.unique(grams(letters(part)[0]) >> np.uint64(shift)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(p // 64), pa.array(p % 64)], names=["w", "k"])
+
+    own = items.select(F.xxhash64("k", "t").alias("n"), "t")
+    filled = own.mapInArrow(places, "w bigint, k bigint").groupBy("w").agg(F.expr("bit_or(shiftleft(1L, cast(k as int)))").alias("b")).toArrow()
+    table = np.zeros(words, np.int64)
+    table[filled.column("w").to_numpy()] = filled.column("b").to_numpy()
+    sent = spark.sparkContext.broadcast(table)
+
+    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from runs(batches, np.unpackbits(sent.value.view(np.uint8), bitorder="little").astype(bool))
+
+    them = docs.select(F.xxhash64(doc_key, doc_text).alias("n"), F.col(f"`{doc_text}`").alias("t")).where("t is not null")
+    seen = them.mapInArrow(dense, "n bigint, h bigint").withColumnRenamed("n", "d")
+    pairs = written(seen.join(own.mapInArrow(runs, "n bigint, h bigint").distinct().withColumnRenamed("n", "i"), "h").select("d", "i").distinct())
+    side = docs.select(F.xxhash64(doc_key, doc_text).alias("d"), F.col(f"`{doc_key}`").alias("dk"), F.col(f"`{doc_text}`").alias("dt"))
+    both = side.join(broadcast_if_small(pairs), "d").join(items.select(F.xxhash64("k", "t").alias("i"), F.col("k").alias("ik"), F.col("t").alias("it")), "i")
+
+    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, index = None, None
+        for b in batches:
+            rows = []
+            for j, (t, k, it) in enumerate(zip(b.column("dt").to_pylist(), b.column("ik").to_pylist(), b.column("it").to_pylist(), strict=True)):
+                if it != last:
+                    last, index = it, Index([k], [it])
+                rows += [(j, k, n, c, int(index.start[1]), p) for _, _, n, c, p in Finder(index, *finder_args).find([t])]
+            yield _rows(b.column("dk"), rows, id_type, schema.names)
+
+    return both.select("dk", "dt", "ik", "it").mapInArrow(tile, schema)
+
+
+def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_key: str, item_text: str, least: int = MIN_PASSAGE, share: float = MAX_CHANGED, cover: float = COVERED) -> DataFrame:
     """``(doc_key, item_key, n_tiles, covered, item_letters, passage)`` for pairs that share enough close tokens.
 
     ``covered`` counts item letters under tiles in any order (it finds reordered passages); ``passage`` is
     the longest run in sequence with at most ``share`` of its letters changed or missing. Pairs whose
-    passage has ``least`` letters are all among the rows; others may be.
+    passage has ``least`` letters are all among the rows, as are those that share ``cover`` of the item's tokens where
+    they stand close together in the document; others may be.
 
-    Null and empty texts and texts shorter than a token match nothing; repeated documents or items give
-    repeated pairs. The two key columns must differ in name; other columns are dropped.
+    Null and empty texts and texts shorter than a token match nothing; items with a null key are left out; repeated
+    documents or items give repeated pairs. The two key columns must differ in name; other columns are dropped.
     """
     if doc_key == item_key:
         raise ValueError("rename one of the key columns")
-    spark = docs.sparkSession
-    sized = items.select(F.col(f"`{item_key}`").alias("k"), F.col(f"`{item_text}`").alias("t")).where("k is not null and t is not null and t <> ''")
-    blocks: list[Index] = []
-    ids, texts, size = [], [], 0
-    for r in sized.orderBy("k").toLocalIterator():
-        ids.append(r["k"])
-        texts.append(r["t"])
-        size += len(r["t"])
-        if size >= ITEM_BLOCK:
-            blocks.append(Index(ids, texts))
-            ids, texts, size = [], [], 0
-    if ids:
-        blocks.append(Index(ids, texts))
+    own = items.select(F.col(f"`{item_key}`").alias("k"), F.col(f"`{item_text}`").alias("t")).where("k is not null and t is not null and t <> ''")
+    size = own.agg(F.sum(F.length("t"))).first()[0] or 0
     id_type = items.schema[item_key].dataType
     schema = T.StructType([T.StructField(doc_key, docs.schema[doc_key].dataType), T.StructField(item_key, id_type), *[T.StructField(c, T.LongType()) for c in ("n_tiles", "covered", "item_letters", "passage")]])
     arrow = {T.LongType: pa.int64(), T.IntegerType: pa.int32(), T.StringType: pa.string()}[type(id_type)]
-    slim = docs.select(f"`{doc_key}`", f"`{doc_text}`")
-    out = spark.createDataFrame([], schema)
-    for index in blocks:
-        sent = spark.sparkContext.broadcast(index)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            finder = Finder(sent.value, least, share)
-            ix = finder.ix
-            for b in batches:
-                rows: list[tuple] = []
-                texts = b.column(doc_text)
-                lens = pa.compute.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
-                ends = np.cumsum(lens)
-                at = 0
-                while at < len(lens):
-                    to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, side="right")))
-                    part = [t or "" for t in texts.slice(at, to - at).to_pylist()]
-                    rows += [(at + d, ix.ids[i], n, c, int(ix.start[i + 1] - ix.start[i]), p) for d, i, n, c, p in finder.find(part)]
-                    at = to
-                cols = [b.column(doc_key).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], arrow)]
-                cols += [pa.array([r[j] for r in rows], pa.int64()) for j in range(2, 6)]
-                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-
-        part = slim.mapInArrow(run, schema)
-        out = part if len(blocks) == 1 else out.unionByName(part)
-    return out
+    way = _sent if size <= ITEM_BLOCK else _joined
+    return way(docs.select(f"`{doc_key}`", f"`{doc_text}`"), own, schema, arrow, (least, share, cover))

@@ -234,6 +234,14 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
     return hit.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("passage").alias("longest_passage"), F.round(F.max(F.col("covered") / F.col("item_letters")), 4).alias("max_coverage"))
 
 
+@query
+def p9_reordered(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold half of an item or more, but in another order than the item's (or with stretches between)."""
+    c = F.col("covered") / F.col("item_letters")
+    hit = _leaks(spark, d).where((c >= leakage.COVERED) & (F.col("passage") < F.col("covered")))
+    return hit.select("doc_id", "item_id", "n_tiles", F.round(c, 4).alias("coverage"), "passage")
+
+
 # problem 10: document languages
 
 

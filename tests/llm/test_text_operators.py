@@ -131,6 +131,60 @@ def test_tiles_do_not_overlap():
     assert t == [(0, 0, len(a))]
 
 
+def test_long_items_and_many_items():
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0x4E00, 0x9F00, 3_000_000)
+    long = "".join(map(chr, codes.tolist()))
+    ix = leakage.Index([1, 2], [long, "x" * 50])
+    for at in (1_000_000, 2_300_000, 2_990_000):
+        assert [(i, p) for _, i, _, _, p in leakage.Finder(ix).find(["nothing", long[at : at + 120]])] == [(0, 120)]
+    # so many items that a pair and its band do not fit beside a place: numbered anew, the same result
+    items = [long[k : k + 60] for k in range(0, 60_000, 60)]
+    ix = leakage.Index(list(range(len(items))), items)
+    texts = [items[3] + "abc" + items[7][:41], "-" * 9, items[999]]
+    want = sorted(leakage.Finder(ix).find(texts))
+    assert [(d, i) for d, i, *_ in want] == [(0, 3), (0, 7), (2, 999)]
+    ix.ids = range(1 << 45)  # only its length counts here
+    assert sorted(leakage.Finder(ix).find(texts)) == want
+
+
+def test_covered_in_short_pieces():
+    item = _items()[2]
+    flat = re.sub(r"\W", "", item)[:300]
+    parts = [flat[k : k + 20] for k in range(0, len(flat), 20)]
+    random.Random(2).shuffle(parts)
+    ix = leakage.Index([7], [flat])
+    ((_, _, n, covered, longest),) = leakage.Finder(ix).find(["".join(parts)])
+    assert n >= 8 and covered >= 0.9 * len(flat) and longest < covered
+    assert list(leakage.Finder(ix, cover=1.1).find(["".join(parts)])) == [] or longest >= 40
+
+
+@pytest.mark.parametrize("block", [0, leakage.ITEM_BLOCK])
+def test_leaks_against_brute_force(spark, monkeypatch, block):
+    """Both ways give the same; every document with 40 letters of an item of which at most four are changed is found."""
+    monkeypatch.setattr(leakage, "ITEM_BLOCK", block)
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    items = [word(rng.randint(45, 200)) for _ in range(12)]
+    docs, want = [], set()
+    for d in range(120):
+        i = rng.randrange(len(items))
+        at = rng.randint(0, len(items[i]) - 42)
+        cut = list(items[i][at : at + rng.choice([25, 40, 42])])
+        spots = rng.sample(range(3, len(cut) - 3), rng.randint(0, 4))
+        for k in spots:
+            cut[k] = "0"
+        docs.append((d, word(60) + "".join(cut) + word(rng.randint(0, 80)), "k"))
+        if len(cut) >= 40:
+            want.add((d, i))
+    df = spark.createDataFrame([*docs, docs[0], (900, None, None), (901, "", None)], "doc int, text string, k string")
+    ev = spark.createDataFrame([*enumerate(items), (3, items[3]), (None, items[4]), (77, None)], "item int, text string")
+    got = [(r.doc, r.item) for r in leakage.leaks(df, "doc", "text", ev, "item", "text").where("passage >= 40").collect()]
+    assert set(got) == want
+    twice = lambda p: (1 + (p[0] == docs[0][0])) * (1 + (p[1] == 3))
+    assert sorted(got) == sorted(p for p in want for _ in range(twice(p)))
+
+
 def test_leaks_table(spark):
     items = _items()
     flat = re.sub(r"\W", "", items[0])[:100]
