@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pollweave.llm.lookalike import Folder
+from pollweave.llm.lookalike import CODE_POINTS, Folder
 from pollweave.session import broadcast_if_small, checkpoint_dir
 
 THRESHOLD = 0.32
@@ -91,7 +91,7 @@ _SETS = T.StructType([T.StructField("value", T.StringType()), T.StructField("for
 
 def _sets(df: DataFrame, variants: dict[str, str] | None, parts: bool, decorated: bool) -> DataFrame:
     """``(value, form, whole, tokens)`` of the distinct strings ``df.value``; with ``parts`` also of main parts."""
-    fold = Folder()
+    fold = Folder(groups=CODE_POINTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

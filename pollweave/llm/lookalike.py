@@ -3,7 +3,7 @@
 Look-alike classes are the transitive closure (union-find) of a fixed list of pairs over strings and
 code points; in each class the member that is most frequent in the reference column represents it. A
 text is cleaned of invisible characters, composed (NFKC) and then rewritten greedily, leftmost longest
-first, by a multi-pattern automaton (Aho-Corasick). Two strings look alike when their forms without
+first, by multi-pattern automata (Aho-Corasick): code points first, then strings such as ``rn`` for ``m``. Two strings look alike when their forms without
 blanks are equal.
 """
 
@@ -27,12 +27,14 @@ GROUPS = (
     "· ・ • ‧ ⋅ ∙ ᐧ ⸱",
     "ー 一 ― — ─ ㅡ",
     "二 ニ", "八 ハ", "力 カ", "夕 タ", "口 ロ 囗", "工 エ", "卜 ト", "へ ヘ", "べ ベ", "ぺ ペ", "丿 ノ",
-    "a а ɑ α", "b Ь", "c с ϲ ς", "d ԁ", "e е ҽ", "g ɡ", "h һ", "i і ı", "j ј", "k κ", "l ӏ", "n ո", "o о ο օ", "p р ρ", "q ԛ",
-    "r г", "s ѕ", "u υ ս", "v ν ѵ", "w ԝ", "x х ⅹ", "y у ү",
-    "A А Α", "B В Β", "C С Ϲ Σ", "E Е Ε", "G Ԍ", "H Н Η", "I І Ι Ӏ", "J Ј", "K К Κ", "M М Μ", "N Ν", "O О Ο Օ", "P Р Ρ", "Q Ԛ",
-    "S Ѕ Տ", "T Т Τ", "U Ս", "V Ѵ", "W Ԝ", "X Х Χ Ⅹ", "Y У Υ Ү", "Z Ζ",
-    "| ǀ ∣ ｜ │", "/ ⁄ ∕ ╱", ", ‚", "& ﹠ ＆", "、 ﹑", "\" ″ ʺ ＂", "' ′ ʹ ＇",
+    "a а ɑ α", "b Ь", "c с ϲ", "d ԁ cl", "e е ҽ", "g ɡ", "h һ", "i і ı", "j ј", "k κ", "l ӏ", "m rn", "n ո", "o о ο օ", "p р ρ", "q ԛ",
+    "r г", "s ѕ", "u υ ս", "v ν ѵ", "w ԝ vv", "x х ⅹ", "y у ү",
+    "A А Α", "B В Β", "C С Ϲ", "E Е Ε", "G Ԍ", "H Н Η", "I І Ι Ӏ", "J Ј", "K К Κ", "M М Μ", "N Ν", "O О Ο Օ", "P Р Ρ", "Q Ԛ",
+    "S Ѕ Տ", "T Т Τ", "U Ս", "V Ѵ", "W Ԝ VV", "X Х Χ Ⅹ", "Y У Υ Ү", "Z Ζ",
+    "林 木木", "森 木林", "炎 火火", "| ǀ ∣ ｜ │", "/ ⁄ ∕ ╱", ", ‚", "& ﹠ ＆", "、 ﹑", "\" ″ ʺ ＂", "' ′ ʹ ＇",
 )
+#: The groups of code points alone.
+CODE_POINTS = tuple(g for g in GROUPS if all(len(m) == 1 for m in g.split(" "))) + ("d ԁ", "m", "w ԝ", "W Ԝ")
 #: Characters without ink: format characters, variation selectors, fillers; and blanks of any width.
 INVISIBLE = re.compile("[\\s\\x00-\\x1f\\x7f-\\x9f\\u00a0\\u00ad\\u034f\\u061c\\u115f\\u1160\\u1680\\u17b4\\u17b5\\u180b-\\u180f\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u2800\\u3000\\u3164\\ufe00-\\ufe0f\\ufeff\\uffa0\\ufff9-\\ufffb\\U000e0000-\\U000e0fff]")
 _EARLY = str.maketrans({"゛": "゙", "゜": "゚", "Ϲ": "C", "ϲ": "c"})
@@ -80,12 +82,34 @@ class Folder:
         self._build()
 
     def _build(self) -> None:
-        self.auto = ahocorasick.Automaton()
-        for m, rep in self.map.items():
+        """One automaton for the code points and one for the strings over code points already rewritten; a class with
+        strings is written out as its longest member, so that what is made of what is does not matter."""
+        single = {m: r for m, r in self.map.items() if len(m) == 1}
+        wide: dict[str, list[str]] = {}
+        for m, r in self.map.items():
+            wide.setdefault(r, []).append(m)
+        wide = {r: ms for r, ms in wide.items() if any(len(m) > 1 for m in ms)}
+        shown = {r: min((m for m in ms if len(m) == 1), key=lambda m: (m != r, ms.index(m)), default=r) for r, ms in wide.items()}
+        self.autos = [self._automaton({m: shown.get(r, r) for m, r in single.items()})]
+        # members as the first automaton leaves them, each written out until nothing of it can be
+        plain = {r: {self.rewrite(m) for m in ms} for r, ms in wide.items()}
+        strings = {m: max(ms, key=lambda x: (len(x), x)) for ms in plain.values() for m in ms}
+        out = {}
+        for m, r in strings.items():
+            while (longer := "".join(strings.get(c, c) for c in r)) != r and len(longer) < 64:
+                r = longer
+            out[m] = r
+        self.autos.append(self._automaton(out))
+
+    @staticmethod
+    def _automaton(rules: Mapping[str, str]) -> ahocorasick.Automaton:
+        auto = ahocorasick.Automaton()
+        for m, rep in rules.items():
             if m != rep:
-                self.auto.add_word(m, (len(m), rep))
-        if len(self.auto):
-            self.auto.make_automaton()
+                auto.add_word(m, (len(m), rep))
+        if len(auto):
+            auto.make_automaton()
+        return auto
 
     def __reduce__(self):
         return (Folder, self.args)
@@ -103,20 +127,14 @@ class Folder:
         return self.rewrite(s)
 
     def rewrite(self, s: str) -> str:
-        if not len(self.auto):
-            return s
-        out, at = [], 0
-        if hasattr(self.auto, "iter_long"):
-            found = self.auto.iter_long(s)
-        else:
-            found = self.auto.iter(s)
-        for end, (n, rep) in found:
-            start = end - n + 1
-            if start >= at:
-                out.append(s[at:start])
-                out.append(rep)
-                at = end + 1
-        return "".join(out) + s[at:] if out else s
+        for auto in self.autos:
+            if len(auto):
+                out, at = [], 0
+                for end, (n, rep) in auto.iter_long(s):
+                    out += (s[at : end - n + 1], rep)
+                    at = end + 1
+                s = "".join(out) + s[at:] if out else s
+        return s
 
 
 def frequencies(reference: DataFrame, column: str, groups: Iterable[str] = GROUPS) -> dict[str, int]:

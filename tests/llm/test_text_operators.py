@@ -22,6 +22,7 @@ def test_classes_are_transitive():
     [
         ("Ｑｕｉｌｌ Ox", "Quill Ox", True), ("Quіll​ Оx", "QuillOx", True), ("テ‍゙", "デ", True), ("ﾉｴﾙ･ﾄﾙｶﾞｰ", "ノエル・トルガー", True),
         ("雷茧ニ乃", "雷茧二乃", True), ("埃洛蒂‧托卢加", "埃洛蒂·托卢加", True), ("霧岬", "雾岬", False), ("quill Ox", "Quill Ox", False), ("千纸一华酱", "千纸一华", False), ("デ", "テ", False),
+        ("Lantem", "Lantern", True), ("Lanteгո", "Lantem", True), ("vvw", "wvv", True), ("wvvv", "vww", True), ("clog", "ԁog", True), ("ΣΟ", "CO", False), ("森", "木木木", True), ("林木", "木林", True), ("rn", "nr", False),
     ],
 )
 def test_folding(a, b, same):
