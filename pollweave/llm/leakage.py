@@ -285,7 +285,7 @@ def aligned(x: np.ndarray, y: np.ndarray, doc_at: np.ndarray, item_at: np.ndarra
 class Finder:
     """Finds the items of an index in documents."""
 
-    def __init__(self, index: Index | None, least: int = MIN_PASSAGE, share: float = MAX_CHANGED, cover: float = COVERED, q: int = Q):
+    def __init__(self, index: Index | None, least: int = MIN_PASSAGE, share: float = MAX_CHANGED, cover: float | None = COVERED, q: int = Q):
         self.ix, self.least, self.share, self.cover = index, least, share, cover
         q = index.q if index else q
         self.errors = int(least * share)
@@ -352,7 +352,7 @@ class Finder:
             width = 2 * self.errors
             bits = (int(rel.max()) + self.window + 1).bit_length()  # keys of different runs lie farther apart than a window
             mask = (1 << bits) - 1
-            good = self._covered(pair, rel, bits)
+            good = self._covered(pair, rel, bits) if self.cover is not None else set()
             for shift in (0, self.errors):  # overlapping bands of diagonals
                 band = (diag - low + shift) // width
                 bands = int(band.max()) + 1
@@ -507,13 +507,13 @@ def _joined(docs: DataFrame, items: DataFrame, schema: T.StructType, id_type: pa
     return both.select("dk", "dt", "ik", "it").mapInArrow(tile, schema)
 
 
-def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_key: str, item_text: str, least: int = MIN_PASSAGE, share: float = MAX_CHANGED, cover: float = COVERED) -> DataFrame:
+def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_key: str, item_text: str, least: int = MIN_PASSAGE, share: float = MAX_CHANGED, cover: float | None = COVERED) -> DataFrame:
     """``(doc_key, item_key, n_tiles, covered, item_letters, passage)`` for pairs that share enough close tokens.
 
     ``covered`` counts item letters under tiles in any order (it finds reordered passages); ``passage`` is
     the longest run in sequence with at most ``share`` of its letters changed or missing. Pairs whose
-    passage has ``least`` letters are all among the rows, as are those that share ``cover`` of the item's tokens where
-    they stand close together in the document; others may be.
+    passage has ``least`` letters are all among the rows, as are (unless ``cover`` is None) those that share ``cover`` of
+    the item's tokens where they stand close together in the document; others may be.
 
     Null and empty texts and texts shorter than a token match nothing; items with a null key are left out; repeated
     documents or items give repeated pairs. The two key columns must differ in name; other columns are dropped.
