@@ -10,13 +10,16 @@ Characters written in another variant (traditional for simplified and the like)
 values themselves: a character that the reference does not use, but which stands almost always for the
 same reference character where a value and its best entry align, is rewritten before the join.
 
-Only distinct values are matched; rows get their entry by joining on the value.
+Only distinct values are matched; rows get their entry by joining on the value. A reference of bounded size goes to
+the tasks, and the join runs there over its prefix postings; a larger one is joined by shuffle (:func:`similarity_join`).
 """
 
 from __future__ import annotations
 
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,13 +27,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pollweave.llm.lookalike import CODE_POINTS, Folder
-from pollweave.session import broadcast_if_small, checkpoint_dir
+from pollweave.session import broadcast_if_small, written
 
 THRESHOLD = 0.32
 #: Similarity from which variants are learned, and how often.
 LEARN_AT, LEARN_ROUNDS = 0.22, 2
 #: A variant is learned from at least so many values, of which this share agrees.
 VARIANT_SUPPORT, VARIANT_SHARE = 3, 0.7
+#: Characters of the reference (names and comparable forms) up to which it is sent to the tasks; a larger one is
+#: joined by shuffle, with the same result.
+REFERENCE_MAX = 2_000_000
 
 # Words people put around a name, and marks of editions.
 BEFORE = ("投给", "支持", "我推:", "我推", "永远的", "永遠的", "最爱的", "最愛的", "【本命】", "本命", "no.1", "#")
@@ -185,6 +191,138 @@ def variants_of(values: DataFrame, refs: DataFrame, start: dict[str, str] | None
     return out
 
 
+def _edits(a: str, b: str) -> int:
+    """Levenshtein distance."""
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, d in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
+    return row[-1]
+
+
+class Reference:
+    """The reference sets in memory: tokens ordered by rarity, postings of the prefixes, the sets for verification."""
+
+    def __init__(self, rows: list[tuple[str, str, bool, list[str]]], thresholds: tuple[float, ...] = (LEARN_AT, THRESHOLD)):
+        self.rows = sorted(rows)
+        df = Counter(t for r in self.rows for t in r[3])
+        self.order = {t: i for i, t in enumerate(sorted(df, key=lambda t: (df[t], t)))}
+        self.sets = [frozenset(r[3]) for r in self.rows]
+        self.alphabet = {c for r in self.rows for c in r[1]}
+        self.postings: dict[float, dict[str, list[tuple[int, int]]]] = {}
+        for t in set(thresholds):
+            at: dict[str, list[tuple[int, int]]] = {}
+            for i, r in enumerate(self.rows):
+                ranked = sorted(r[3], key=self.order.__getitem__)
+                for place, token in enumerate(ranked[: self.prefix(len(ranked), t)]):
+                    at.setdefault(token, []).append((i, place))
+            self.postings[t] = at
+
+    @staticmethod
+    def prefix(n: int, t: float) -> int:
+        return n - math.ceil(n * t - 1e-9) + 1
+
+    def matches(self, tokens: Sequence[str], t: float) -> list[tuple[float, int]]:
+        """``(jaccard, reference row)`` of every reference set of at least ``t``: rare prefixes are looked up,
+        candidates cut by length and place, and the rest verified. Tokens the reference lacks are the rarest."""
+        n = len(tokens)
+        known = sorted((x for x in tokens if x in self.order), key=self.order.__getitem__)
+        strange = n - len(known)
+        at, sets = self.postings[t], self.sets
+        cand: set[int] = set()
+        for place, x in enumerate(known[: max(0, self.prefix(n, t) - strange)], strange):
+            for i, there in at.get(x, ()):
+                m = len(sets[i])
+                if i not in cand and m >= n * t - 1e-9 and n >= m * t - 1e-9 and min(n - place, m - there) >= (n + m) * t / (1 + t) - 1e-9:
+                    cand.add(i)
+        own = set(known)
+        out = []
+        for i in cand:
+            both = len(own & sets[i])
+            j = both / (n + len(sets[i]) - both)
+            if j >= t - 1e-12:
+                out.append((j, i))
+        return out
+
+    def best(self, form: str, tokens: Sequence[str], t: float) -> tuple[str | None, float | None]:
+        """The closest entry: similarity, edit distance, whole titles before parts, then the smaller name."""
+        found = self.matches(tokens, t)
+        if not found:
+            return None, None
+        top = max(round(j, 9) for j, _ in found)
+        tied = [self.rows[i] for j, i in found if round(j, 9) == top]
+        name = tied[0][0] if len(tied) == 1 else min((_edits(form, r[1]), not r[2], r[0], r[1]) for r in tied)[2]
+        return name, top
+
+    def votes(self, form: str, tokens: Sequence[str], t: float) -> set[tuple[str, str]]:
+        """``(foreign character, reference character)`` that a value votes for; see :func:`learn_variants`."""
+        if self.alphabet.issuperset(form):
+            return set()
+        found = self.matches(tokens, t)
+        top = max((j for j, _ in found), default=0)
+        out = set()
+        for j, i in found:
+            ref = self.rows[i][1]
+            if j >= top - 1e-9 and len(ref) == len(form):
+                differ = [(a, b) for a, b in zip(form, ref, strict=True) if a != b]
+                if len(differ) * 5 <= len(form) * 3:
+                    out.update((a, b) for a, b in differ if a not in self.alphabet)
+        return out
+
+
+def _in_memory(refs: DataFrame) -> Reference | None:
+    """The reference if it has at most REFERENCE_MAX characters in all (summed before anything is collected)."""
+    size = refs.agg(F.sum(F.length("value") + F.length("form"))).first()[0] or 0
+    return Reference([tuple(r) for r in refs.collect()]) if size <= REFERENCE_MAX else None
+
+
+def _matched_in_memory(todo: DataFrame, ref: Reference, names: set[str], threshold: float, variants: dict[str, str] | None, known: dict[str, str] | None) -> DataFrame:
+    """:func:`mapped` by narrow passes over the values: learning votes, then the best entry."""
+    spark, fold = todo.sparkSession, Folder(groups=CODE_POINTS)
+    sent = spark.sparkContext.broadcast((ref, names))
+
+    def forms(b: pa.RecordBatch, rewrite: dict[str, str]) -> Iterator[tuple[str, str, list[str]]]:
+        for v in b.column("value").to_pylist():
+            form = clean(v, fold, rewrite)
+            yield v, form, tokens(form)
+
+    if variants is None:
+        variants = {a: b for a, b in (known or {}).items() if a not in ref.alphabet}
+        for _ in range(LEARN_ROUNDS):
+
+            def voting(batches: Iterator[pa.RecordBatch], rewrite=dict(variants)) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    n: Counter = Counter()
+                    for _, form, ts in forms(b, rewrite):
+                        cast = sent.value[0].votes(form, ts, LEARN_AT) if ts else ()
+                        n.update(cast)
+                        n.update({(a, None) for a, _ in cast})  # one for each value that votes on the character
+                    yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in n], pa.string()), pa.array([k[1] for k in n], pa.string()), pa.array(list(n.values()), pa.int64())], names=["a", "b", "n"])
+
+            votes = todo.mapInArrow(voting, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= VARIANT_SUPPORT)
+            total, most = {}, {}
+            for r in votes.collect():  # at most an entry for each character and its partners that recur
+                if r["b"] is None:
+                    total[r["a"]] = r["n"]
+                else:
+                    most[r["a"]] = max(most.get(r["a"], (0, "")), (r["n"], r["b"]))
+            more = {a: b for a, (k, b) in most.items() if k >= VARIANT_SHARE * total[a]}
+            if not more:
+                break
+            variants |= more
+        if known is not None:
+            known |= variants
+
+    def best(batches: Iterator[pa.RecordBatch], rewrite=dict(variants)) -> Iterator[pa.RecordBatch]:
+        here, exact = sent.value
+        for b in batches:
+            got = [(v, 1.0) if v in exact else here.best(form, ts, threshold) if ts else (None, None) for v, form, ts in forms(b, rewrite)]
+            yield pa.RecordBatch.from_arrays([b.column("value"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["value", "ref_name", "jaccard"])
+
+    return todo.mapInArrow(best, "value string, ref_name string, jaccard double")
+
+
 def mapped(values: DataFrame, reference: DataFrame, threshold: float = THRESHOLD, variants: dict[str, str] | None = None, known: dict[str, str] | None = None) -> DataFrame:
     """``(value, ref_name, jaccard)`` for each distinct non-null ``values.value``; null name if none is meant.
 
@@ -193,9 +331,12 @@ def mapped(values: DataFrame, reference: DataFrame, threshold: float = THRESHOLD
     gives the learning a start and takes up what it finds. Empty tables give empty results; values without
     letters or digits are unmatched.
     """
-    checkpoint_dir(values.sparkSession)
-    todo = values.select("value").where("value is not null").distinct().checkpoint()  # read by every round
-    refs = _sets(reference, None, True, False).checkpoint()
+    todo = written(values.select("value").where("value is not null").distinct())  # read by every round
+    refs = _sets(reference, None, True, False)
+    if (ref := _in_memory(refs)) is not None and threshold in ref.postings:
+        names = {r["value"] for r in reference.select("value").where("value is not null").distinct().collect()}
+        return _matched_in_memory(todo, ref, names, threshold, variants, known)
+    refs = written(refs)
     if variants is None:
         variants = variants_of(todo, refs, known)
         if known is not None:

@@ -218,8 +218,8 @@ from documents where text <> ''"""
 # problem 9: evaluation texts in the corpus
 
 
-def _leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leakage.leaks(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+def _leaks(spark: SparkSession, d: str, cover: float | None = None) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text", cover=cover)
 
 
 @query
@@ -238,7 +238,7 @@ def p9_items(spark: SparkSession, d: str) -> DataFrame:
 def p9_reordered(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold half of an item or more, but in another order than the item's (or with stretches between)."""
     c = F.col("covered") / F.col("item_letters")
-    hit = _leaks(spark, d).where((c >= leakage.COVERED) & (F.col("passage") < F.col("covered")))
+    hit = _leaks(spark, d, leakage.COVERED).where((c >= leakage.COVERED) & (F.col("passage") < F.col("covered")))
     return hit.select("doc_id", "item_id", "n_tiles", F.round(c, 4).alias("coverage"), "passage")
 
 
