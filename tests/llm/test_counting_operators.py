@@ -36,9 +36,11 @@ def _brute(baskets, least, per_mille):
     return {(a, b): (one[a], one[b], k, n) for (a, b), k in two.items() if k >= least and 1000 * k >= per_mille * n}
 
 
+@pytest.mark.parametrize("split", [cooccur.SPLIT, 2, 3])
 @pytest.mark.parametrize("broadcast", [cooccur.BROADCAST_ITEMS, 0])
-def test_pairs_against_brute_force(spark, monkeypatch, broadcast):
+def test_pairs_against_brute_force(spark, monkeypatch, broadcast, split):
     monkeypatch.setattr(cooccur, "BROADCAST_ITEMS", broadcast)
+    monkeypatch.setattr(cooccur, "SPLIT", split)
     monkeypatch.setattr(cooccur, "BLOCK", 50)
     rng = random.Random(5)
     baskets = [[rng.choice("abcdefgh中é") for _ in range(rng.randint(0, 7))] for _ in range(200)] + [None, [], [None, "a"], ["a", "a"]]
@@ -48,6 +50,14 @@ def test_pairs_against_brute_force(spark, monkeypatch, broadcast):
     assert cooccur.pairs(df.limit(0)).count() == 0
 
 
+def test_large_counts(spark):
+    big = 900_000_000_000
+    rows = [("a", "b", 4 * big, 3 * big, 2 * big, 6 * big), ("a", "c", big, big, big, 3 * big), ("a", "d", big, big, big, 3 * big - 1)]
+    df = spark.createDataFrame(rows, "item_a string, item_b string, n_a long, n_b long, n_ab long, n long")
+    with_ansi = spark.conf.get("spark.sql.ansi.enabled")
+    assert with_ansi == "true" and [r.item_b for r in cooccur.above_chance(df).collect()] == ["c"]
+
+
 def test_odds_are_finite(spark):
     df = spark.createDataFrame([(["a", "b"],)] * 5, "items array<string>")
     r = cooccur.pairs(df).first()
