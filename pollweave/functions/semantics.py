@@ -72,5 +72,27 @@ def assert_unique(df: DataFrame, *keys: str) -> DataFrame:
     return df
 
 
+def assert_not_empty(df: DataFrame, what: str = "result") -> DataFrame:
+    """Fails if there is no row."""
+    if df.isEmpty():
+        raise ValueError(f"{what} is empty")
+    return df
+
+
+def assert_has(df: DataFrame, column: str, value: object, what: str = "value") -> DataFrame:
+    """Fails if no row has the value, such as a session that was asked for; the message names those that there are."""
+    if df.where(col(column) == value).isEmpty():
+        there = [r[0] for r in df.select(col(column)).distinct().orderBy(col(column)).limit(20).collect()]
+        raise ValueError(f"no {what} {value!r}; there are {there}")
+    return df
+
+
+def strict_int(c: str | Column) -> Column:
+    """Whole number of a text that must be one; anything else raises when the row is read, null stays null."""
+    c = col(c)
+    n = c.cast("string").try_cast("bigint")
+    return F.when(c.isNotNull() & n.isNull(), F.raise_error(F.concat(F.lit("no whole number: "), c.cast("string")))).otherwise(n)
+
+
 def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pollweave.functions.scalars import parse_session, session_number
 from pollweave.functions.semantics import col
 
 
@@ -45,3 +46,27 @@ def nested_json(entities: DataFrame, key: str, sessions: DataFrame, session: str
 def sessions_without(sessions: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Sessions that have no row in another table (such as the gender table)."""
     return sessions.select(col(key)).distinct().join(other.select(col(key)).distinct(), key, "left_anti")
+
+
+def latest_stats(df: DataFrame, key: str, session: Column, stats: dict[str, Column], order: str) -> DataFrame:
+    """``(key, session, stats)``: the statistics on the last row (by ``order``) of each key and session; null keys and
+    sessions are left out."""
+    d = df.select(col(key), session.alias("session"), F.struct(*[c.alias(n) for n, c in stats.items()]).alias("stats"), col(order).alias("__o"))
+    return d.dropna(subset=[key, "session"]).groupBy(col(key), "session").agg(F.max_by("stats", "__o").alias("stats"))
+
+
+def sections(parts: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``(section, key, json)``: each part's rows as documents of that section under the value of its key column.
+
+    The nested document is the object of the sections; a row for each entry keeps it distributed. Attributes that are
+    null are left out of the JSON.
+    """
+    one = lambda name, df, key: df.select(F.lit(name).alias("section"), col(key).cast("string").alias("key"), F.to_json(F.struct(*[col(c) for c in df.columns if c != key])).alias("json"))
+    return reduce(DataFrame.unionByName, [one(name, df, key) for name, (df, key) in parts.items()])
+
+
+def sorted_sessions(df: DataFrame, session: str, suffix: str) -> DataFrame:
+    """One row ``(sessions)``: the session keys with the suffix, sorted by their number; keys without one come last."""
+    keys = df.select(parse_session(session, suffix).alias("k")).where("k is not null").distinct()
+    rows = F.array_sort(F.collect_list(F.struct(F.coalesce(session_number("k"), F.lit(2**62)).alias("n"), "k")))
+    return keys.agg(F.transform(rows, lambda x: x["k"]).alias("sessions"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pollweave.functions.scalars import normalize_title
-from pollweave.functions.semantics import assert_unique, require_columns
+from pollweave.functions.scalars import clean_name, normalize_title
+from pollweave.functions.semantics import assert_unique, col, require_columns
 
 
 def enrich_votes(votes: DataFrame, dim: DataFrame, key: str, value: str, above: float | None = 5.0, least: float | None = None) -> DataFrame:
@@ -59,3 +59,17 @@ def lookup_strict(df: DataFrame, key: str, table: DataFrame, table_key: str, tab
     """As :func:`lookup`, but a key that is missing from the table raises when the row is read."""
     got = lookup(df, key, table, table_key, table_value, out)
     return got.withColumn(out, F.when(F.col(out).isNull(), F.raise_error(F.concat(F.lit("no entry for "), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null"))))).otherwise(F.col(out)))
+
+
+def collapsed(df: DataFrame, name: str, values: dict[str, str], order: str, remove: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each cleaned name (bracket groups and the literals ``remove`` off, blanks trimmed): its numbers
+    added up, ``n`` rows that came together, and the spelling of the first row by ``order``. Null and empty names are
+    left out."""
+    d = df.withColumn("__n", clean_name(name, remove)).where("__n <> ''")
+    return d.groupBy(F.col("__n").alias("name")).agg(*[F.sum(col(v)).alias(o) for o, v in values.items()], F.count("*").alias("n"), F.min_by(col(name), col(order)).alias("spelling"))
+
+
+def without(df: DataFrame, name: str, *values: str, cleaned: bool = False) -> DataFrame:
+    """``df`` without the rows of the given names, as written or (``cleaned``) after cleaning; null names are kept."""
+    n = clean_name(name) if cleaned else col(name)
+    return df.where(~F.coalesce(n.isin(*values), F.lit(False)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -49,18 +49,44 @@ def top_terms(counts: DataFrame, key: str, k: int = 20, ascending: bool = False)
     return out.select(col(key), "term", "tf", "rank")
 
 
-def tfidf(counts: DataFrame, key: str, k: int = 50) -> DataFrame:
+def tfidf(counts: DataFrame, key: str, k: int = 50, n: DataFrame | None = None) -> DataFrame:
     """``(key, term, score, rank)``: tf * (ln((1 + n) / (1 + df)) + 1), rows of length 1, the ``k`` largest;
-    ties (to 9 digits) by term. The number of documents counts those that have a term."""
-    n = counts.select(col(key)).distinct().agg(F.count("*").alias("n"))
+    ties (to 9 digits) by term. ``n`` is one row with the number of documents that have a term, counted from
+    ``counts`` if not given. Length and rank come from one partitioning by document."""
+    if n is None:
+        n = counts.select(col(key)).distinct().agg(F.count("*").alias("n"))
     df = counts.groupBy("term").agg(F.count("*").alias("df"))
     w = counts.join(df, "term").crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1))
-    norm = w.groupBy(col(key)).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    s = w.join(norm, key).withColumn("score", F.col("w") / F.col("norm"))
+    s = w.withColumn("score", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(col(key)))))
     order = Window.partitionBy(col(key)).orderBy(F.desc(F.round("score", 9)), "term")
     return s.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k).select(col(key), "term", "score", "rank")
 
 
+def tfidf_of_document(counts: DataFrame, key: str, idf: DataFrame, k: int = 20) -> DataFrame:
+    """``(key, term, score, rank)`` of each document by itself: tf / (terms of the document) * idf, the ``k`` largest,
+    ties (to 9 digits) by first place. ``idf`` is a given table ``(term, idf)``, as of another corpus; a term that it
+    lacks has its median (0 for an empty table)."""
+    middle = idf.agg(F.coalesce(F.median("idf"), F.lit(0.0)).alias("__m"))
+    w = counts.join(idf.groupBy("term").agg(F.max("idf").alias("idf")), "term", "left").crossJoin(F.broadcast(middle))
+    own = Window.partitionBy(col(key))
+    s = w.withColumn("score", F.col("tf") / F.sum("tf").over(own) * F.coalesce("idf", "__m"))
+    order = own.orderBy(F.desc(F.round("score", 9)), "pos", "term")
+    return s.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k).select(col(key), "term", "score", "rank")
+
+
+def corpus_idf(counts: DataFrame, n: DataFrame) -> DataFrame:
+    """``(term, idf)``: ln(n / df) of a corpus's counts; ``n`` is one row with its documents."""
+    return counts.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).select("term", F.log(F.col("n") / F.col("df")).alias("idf"))
+
+
+def entity_counts(pages: DataFrame, entity: str, text: str, part: str, least: int = 1, words: Column | None = None) -> DataFrame:
+    """``(entity, term, tf, pos)`` over all pages of an entity together, as of their concatenation in the order of
+    ``part``: counts add up, so no entity's text is ever put together in one task. ``pos`` orders terms by the page and
+    the place where they first stand."""
+    t = pages.select(col(entity), col(part).alias("__p"), F.posexplode(words if words is not None else tokens(text, least)).alias("__i", "term"))
+    return t.groupBy(col(entity), "term").agg(F.count("*").alias("tf"), F.min(F.struct("__p", "__i")).alias("pos"))
+
+
 def suffixed(entities: DataFrame, name: str, suffixes: list[str], base: str = "") -> DataFrame:
     """Every entity with every suffix, as ``url`` after ``base``."""
     return entities.select("*", F.explode(F.array(*map(F.lit, suffixes))).alias("suffix")).withColumn("url", F.concat(F.lit(base), col(name), F.col("suffix")))
@@ -110,8 +136,9 @@ def rank_graph(words: list[str], span: int = 5, rounds: int = 10, damping: float
     return [(str(names[i]), float(score[i])) for i in order]
 
 
-def textrank(docs: DataFrame, key: str, words: Column, k: int = 20, span: int = 5, rounds: int = 10, damping: float = 0.85) -> DataFrame:
-    """``(key, term, score, rank)``: the ``k`` best terms of each document by :func:`rank_graph`, ties by term.
+def textrank(docs: DataFrame, key: str, words: Column, k: int = 20, span: int = 5, rounds: int = 10, damping: float = 0.85, first: int | None = None, keep: Callable[[str], bool] | None = None) -> DataFrame:
+    """``(key, term, score, rank)``: the ``k`` best terms of each document by :func:`rank_graph`, ties by term. With
+    ``keep`` the best ``first`` terms (all, if not given) are filtered by it before the ``k`` best are taken.
 
     Every document is a graph of its own, so it is ranked where it is read: one narrow pass, no shuffle,
     memory for one document's words times the span. ``words`` is an array of the admitted words in order;
@@ -121,7 +148,7 @@ def textrank(docs: DataFrame, key: str, words: Column, k: int = 20, span: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, t, s, r) for i, ws in enumerate(b.column("__w").to_pylist()) if ws for r, (t, s) in enumerate(rank_graph(ws, span, rounds, damping)[:k], 1)]
+            rows = [(i, t, s, r) for i, ws in enumerate(b.column("__w").to_pylist()) if ws for r, (t, s) in enumerate([x for x in rank_graph(ws, span, rounds, damping)[:first] if keep is None or keep(x[0])][:k], 1)]
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(key).take(take), *(pa.array([r[j] for r in rows], t) for j, t in ((1, pa.string()), (2, pa.float64()), (3, pa.int64())))], names=schema.names)
 

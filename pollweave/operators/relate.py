@@ -79,6 +79,20 @@ def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.join(ranks, col(value) == F.col("__v"), "left").drop("__v")
 
 
+def ordered(df: DataFrame, by: tuple[tuple[str, bool], ...], out: str) -> DataFrame:
+    """``df`` with the place (from 1) of each row in the order of ``by``: columns and whether they ascend, nulls last.
+
+    The order is made of ranges sorted in parallel; only the number of rows of each range is summed in one place. Rows
+    equal in all columns have places of their own, in no fixed order.
+    """
+    keys = [F.col(f"`{c}`").asc_nulls_last() if up else F.col(f"`{c}`").desc_nulls_last() for c, up in by]
+    parts = df.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id())
+    parts = parts.withColumn("__i", F.row_number().over(Window.partitionBy("__p").orderBy(*keys)))
+    size = parts.groupBy("__p").agg(F.count("*").alias("__s"))
+    before = size.select("__p", F.coalesce(F.sum("__s").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
+    return parts.join(F.broadcast(before), "__p").withColumn(out, (F.col("__b") + F.col("__i")).cast("bigint")).drop("__p", "__i", "__b")
+
+
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row ``(rho, n)`` of the rows where both are known; rho is null for fewer than 2 rows or a constant."""
     d = df.select(col(x).cast("double").alias("__x"), col(y).cast("double").alias("__y")).dropna()

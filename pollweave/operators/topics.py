@@ -58,3 +58,11 @@ def keyword_clusters(keywords: DataFrame, keyword: str, source: str, k: int = 5,
     finally:
         rows.unpersist()
     return model.transform(rows).select(col(keyword), "cluster")
+
+
+def cluster_labels(contexts: DataFrame, method: str, keyword: str, source: str, k: int = 5, seed: int = 0) -> DataFrame:
+    """``(method, keyword, cluster)``, each once: the clusters of all keywords given back to the methods that found
+    them. Rows with a null method, keyword or source take no part."""
+    c = contexts.select(col(method), col(keyword), col(source)).dropna()
+    labels = keyword_clusters(c, keyword, source, k, seed)
+    return c.select(col(method), col(keyword)).distinct().join(labels, keyword).select(col(method), col(keyword), "cluster")

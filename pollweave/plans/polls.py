@@ -6,6 +6,8 @@ read whole tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -499,11 +501,113 @@ def ordered_distinct_list(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def consolidated_json(spark: SparkSession, d: str) -> DataFrame:
+    """Each name with its attributes and the votes of every session."""
     e = document.upsert(_sources(spark, d), "name", ["jp_name"], [], "row_id").withColumn("id", S.entity_id("name"))
     stats = _regions(spark, d).withColumn("session", F.when(F.col("region") == "jp", S.parse_session("session", "jp")).otherwise(S.parse_session("session", "cn"))).groupBy("name", "session").agg(M.sum0("votes").alias("v"))
     return document.nested_json(e, "name", stats, "session")
 
 
+# The statistics of a session in the consolidated document and the columns they come from.
+_JP_STATS = {"r": "名次", "prev_r": "上回名次", "prev2_r": "上上回名次", "v": "票数", "bnum": "本名票数", "comments": "评论数", "support": "应援作品数"}
+_CN_STATS = {"r": "名次", "v": "票数", "bnum": "本命数", "brate": "本命率", "bw": "本命加权", "v_pct": "票数占比", "b_pct": "本命占比", "male_pct": "男性比例", "female_pct": "女性比例"}
+_JP_SONG = {"r": "排名", "prev_r": "上回名次", "prev2_r": "上上回名次", "v": "得票数", "main_v": "本名票数", "comments": "评论数"}
+_CN_SONG = {
+    "r": "名次", "v": "票数", "bnum": "本命数", "brate": "本命率", "bw": "本命加权", "v_pct": "票数占比", "b_pct": "本命占比", "male": "男性", "male_pct": "男性比", "male_total_pct": "占总数",
+    "female": "女性", "female_pct": "女性比", "female_total_pct": "占总数_1", "bias_orig": "偏原作", "bias_2nd": "偏二次", "no_bias": "无偏爱", "no_interest": "都没兴趣",
+}
+_RATES = {"brate", "bw", "v_pct", "b_pct", "male_pct", "female_pct", "male_total_pct", "female_total_pct"}
+
+
+def _session_map(parts: list[tuple[DataFrame, str, dict[str, str]]], key: str) -> DataFrame:
+    """``(name, sessions)``: the statistics of each session, by session key; attributes a region lacks are left out."""
+    names = list(dict.fromkeys(n for *_, stats in parts for n in stats))
+
+    def value(n: str, stats: dict[str, str]):
+        if n not in stats:
+            return F.lit(None).cast("double" if n in _RATES else "bigint")
+        return M.to_float(stats[n]) if n in _RATES else M.to_int(stats[n])
+
+    per = [document.latest_stats(df.withColumn(key, M.ustrip(key)), key, S.parse_session("session", region), {n: value(n, stats) for n in names}, "row_id") for df, region, stats in parts]
+    u = reduce(DataFrame.unionByName, per)
+    return u.groupBy(F.col(f"`{key}`").alias("name")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("session", "stats")))).alias("sessions"))
+
+
+def _document(spark: SparkSession, d: str) -> dict[str, tuple[DataFrame, str]]:
+    """The sections of the consolidated document and their key columns."""
+    jp, cn = _jp(spark, d), _cn(spark, d)
+    mj, mc = table(spark, d, "music_votes_jp"), table(spark, d, "music_votes_cn")
+    named = lambda df, *c: df.select("row_id", M.ustrip("译名").alias("name"), *c)
+    works = table(spark, d, "char_dim").groupBy(F.col("译名").alias("name")).agg(F.min(M.clean_str("首次出现作品")).alias("first_appear"))
+    tags_of = table(spark, d, "char_tags").select("entry_id", M.ustrip("译名").alias("name"), F.filter(F.transform(F.split(F.translate("keywords", "；", "、"), "、"), lambda x: M.ustrip(x)), lambda x: x != "").alias("keywords"))
+    tags_of = tags_of.where("name is not null and keywords is not null").groupBy("name").agg(F.max_by("keywords", "entry_id").alias("keywords"))
+    base = document.upsert([named(jp, F.col("日文名").alias("jp_name")), named(cn), tags_of.select("name", F.lit(0).cast("bigint").alias("row_id"))], "name", ["jp_name"], [], "row_id")
+    chars = base.withColumn("id", S.entity_id("name")).join(works, "name", "left").join(tags_of, "name", "left").join(_session_map([(jp, "jp", _JP_STATS), (cn, "cn", _CN_STATS)], "译名"), "name", "left")
+    titles = document.upsert([named(mj, M.ustrip("曲目").alias("t")), named(mc)], "name", ["t"], [], "row_id")
+    known = packed.known_names(table(spark, d, "char_dim", "译名"), "译名")
+    members = packed.split_packed(named(mj, "所属角色").where("name is not null"), "所属角色", ["row_id", "name"], known)
+    members = document.index(members.withColumn("at", F.struct("row_id", "pos")), "name", "val", "at", "chars")
+    songs = titles.join(members, "name", "left").join(_session_map([(mj, "jp", _JP_SONG), (mc, "cn", _CN_SONG)], "译名"), "name", "left")
+    gender = mc.groupBy(S.parse_session("session", "cn").alias("session")).agg(M.positive_or_null(M.sum0(M.to_int("男性"))).alias("m"), M.positive_or_null(M.sum0(M.to_int("女性"))).alias("f"))
+    both = named(jp).withColumn("o", F.struct(F.lit(0), "row_id")).unionByName(named(cn).withColumn("o", F.struct(F.lit(1), "row_id")))
+    by_work = document.index(both.join(works.where("first_appear is not null"), "name"), "first_appear", "name", "o", "names")
+
+    def session(df: DataFrame, region: str, votes: str, items: str, total: str) -> tuple[DataFrame, DataFrame]:
+        k = df.select("row_id", "session", S.parse_session("session", region).alias("key"), M.ustrip("译名").alias("name"), F.col(f"`{votes}`").alias("v"))
+        return document.index(k, "key", "name", "row_id", items), k.groupBy("key").agg(M.sum0(M.to_int("v")).alias(total), F.max(S.paren_list("session")).alias(f"{items}_works"))
+
+    (cj, tj), (cc, tc) = session(jp, "jp", "票数", "chars", "total_votes"), session(cn, "cn", "票数", "chars", "total_votes")
+    (sj, uj), (sc, uc) = session(mj, "jp", "得票数", "songs", "total_song_votes"), session(mc, "cn", "票数", "songs", "total_song_votes")
+    by_session = tj.unionByName(tc).join(uj.unionByName(uc), "key", "full_outer").join(cj.unionByName(cc), "key", "left").join(sj.unionByName(sc), "key", "left")
+    by_session = by_session.select("key", "chars", "songs", F.coalesce("chars_works", F.array().cast("array<string>")).alias("extra_works"), "total_votes", "total_song_votes")
+    no_gender = document.sessions_without(by_session, gender.withColumnRenamed("session", "key").where("m is not null or f is not null"), "key")
+    meta = [df.select(F.lit(n).alias("key"), "sessions") for n, df in (("jp_sessions", document.sorted_sessions(jp, "session", "jp")), ("cn_sessions", document.sorted_sessions(cn, "session", "cn")), ("missing_gender", no_gender.agg(F.array_sort(F.collect_list("key")).alias("sessions"))))]
+    return {"characters": (chars, "name"), "songs": (songs, "name"), "gender": (gender, "session"), "by_work": (by_work, "first_appear"), "by_session": (by_session, "key"), "meta": (reduce(DataFrame.unionByName, meta), "key")}
+
+
+@query()
+def consolidated_document(spark: SparkSession, d: str) -> DataFrame:
+    """The whole consolidated document: characters and songs with the statistics of their sessions, genders, indexes
+    and meta, an entry a row."""
+    return document.sections(_document(spark, d))
+
+
+_BLANK = "\\s\\x{3000}\\x{A0}\\x{2000}-\\x{200A}\\x{202F}\\x{205F}"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^[{_BLANK}]+|[{_BLANK}]+$', '', 'g')"
+
+
+def _key(region: str) -> str:
+    return f"coalesce({_NUM('session')}, session) || '_{region}'"
+
+
+_NAME_SQL = _strip('"译名"')
+_CLEAN_SQL = _strip("regexp_replace(\"译名\", '（[^）]*）', '', 'g')")
+
+
+@query(
+    f"""with c as (select {_NAME_SQL} as name, {_key('jp')} as session, "票数" as v from char_votes_jp union all select {_NAME_SQL}, {_key('cn')}, "票数" from char_votes_cn),
+    s as (select {_NAME_SQL} as name, {_key('jp')} as session, "得票数" as v from music_votes_jp union all select {_NAME_SQL}, {_key('cn')}, "票数" from music_votes_cn),
+    g as (select {_NAME_SQL} as name from char_tags where keywords is not null),
+    w as (select "译名" as name, min(case when "首次出现作品" = floor("首次出现作品") then cast(cast("首次出现作品" as bigint) as varchar) else cast("首次出现作品" as varchar) end) as work from char_dim group by 1)
+    select 'characters' as section, name as key, cast(count(distinct session) as bigint) as n from (select name, session from c union all select name, null from g) where name is not null group by 2
+    union all select 'songs', name, cast(count(distinct session) as bigint) from s where name is not null group by 2
+    union all select 'by_work', work, cast(count(distinct name) as bigint) from c join w using (name) where work is not null group by 2
+    union all select 'by_session', coalesce(a.session, b.session), coalesce(n, 0) + coalesce(m, 0) + coalesce(x, 0) + coalesce(y, 0) from
+      (select session, cast(count(distinct name) as bigint) as n, cast(sum(coalesce(v, 0)) as bigint) as x from c group by 1) a full join (select session, cast(count(distinct name) as bigint) as m, cast(sum(coalesce(v, 0)) as bigint) as y from s group by 1) b on a.session = b.session
+    union all select 'meta', 'jp_sessions', cast(count(distinct {_key('jp')}) as bigint) from char_votes_jp union all select 'meta', 'cn_sessions', cast(count(distinct {_key('cn')}) as bigint) from char_votes_cn"""
+)
+def consolidated_counts(spark: SparkSession, d: str) -> DataFrame:
+    """How much each entry of the document holds: sessions of a name, names of a work, names and votes of a session."""
+    p = _document(spark, d)
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0))
+    n0 = lambda c: F.coalesce(F.col(c), F.lit(0))
+    row = lambda name, key, n: p[name][0].select(F.lit(name).alias("section"), F.col(key).cast("string").alias("key"), n.cast("bigint").alias("n"))
+    parts = [row("characters", "name", size("sessions")), row("songs", "name", size("sessions")), row("by_work", "first_appear", size("names")), row("by_session", "key", size("chars") + size("songs") + n0("total_votes") + n0("total_song_votes"))]
+    return reduce(DataFrame.unionByName, [*parts, row("meta", "key", size("sessions")).where("key <> 'missing_gender'")])
+
+
 # scalars
 
 
@@ -556,3 +660,97 @@ def report_lines(spark: SparkSession, d: str) -> DataFrame:
 @query(f"with t as ({SQL['region_share_diff']}) select name as x, difference as y, cast(null as varchar) as series, case when difference > 0 then 'positive' when difference < 0 then 'negative' when difference = 0 then 'zero' end as sign from t")
 def chart_series(spark: SparkSession, d: str) -> DataFrame:
     return sinks.chart_series(QUERIES["region_share_diff"](spark, d), "name", "difference")
+
+
+# guards, ordering and outputs
+
+
+@query(
+    f"""select row_id, session, cast({_NUM('session')} as bigint) as session_no, "上回名次" - "名次" as gained, cast(row_number() over (order by cast({_NUM('session')} as bigint) desc nulls last, "名次" asc nulls last, row_id) as bigint) as place
+    from char_votes_jp where "名次" is not null and "上回名次" is not null and "名次" <= 20"""
+)
+def rank_changes(spark: SparkSession, d: str) -> DataFrame:
+    """How far the first twenty of each session have risen against the session before, latest session first."""
+    v = _jp(spark, d).where("`名次` is not null and `上回名次` is not null and `名次` <= 20")
+    v = v.select("row_id", "session", S.session_number("session").alias("session_no"), "名次", (F.col("上回名次") - F.col("名次")).alias("gained"))
+    o = relate.ordered(v, (("session_no", False), ("名次", True), ("row_id", True)), "place")
+    return o.select("row_id", "session", "session_no", "gained", "place")
+
+
+@query(f"""with k as (select distinct {_key('jp')} as key, cast({_NUM('session')} as bigint) as n from char_votes_jp) select key, cast(row_number() over (order by n nulls last, key) as bigint) as place, cast(count(*) over () - row_number() over (order by n nulls last, key) + 1 as bigint) as shown_at from k""")
+def sessions_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Session keys by number, and their place where a chart shows the last one first."""
+    k = _jp(spark, d).select(S.parse_session("session", "jp").alias("key"), M.strict_int(S.session_number("session")).alias("n")).distinct()
+    o = relate.ordered(k, (("n", True), ("key", True)), "place")
+    return o.crossJoin(F.broadcast(k.agg(F.count("*").alias("c")))).select("key", "place", (F.col("c") - F.col("place") + 1).alias("shown_at"))
+
+
+@query(
+    f"""with c as (select row_id, "译名", "票数", {_CLEAN_SQL} as name from char_votes_cn where "译名" is not null)
+    select name, cast(sum("票数") as bigint) as votes, cast(count(*) as bigint) as n, arg_min("译名", row_id) as spelling from c where name <> '' and name not in ('弃权', '不认识') group by 1"""
+)
+def collapsed_names(spark: SparkSession, d: str) -> DataFrame:
+    """Votes of names that are the same without bracketed notes, and without those who named nobody."""
+    v = enrich.without(_cn(spark, d).select("row_id", "译名", "票数"), "译名", "弃权", "不认识", cleaned=True)
+    return enrich.collapsed(v, "译名", {"votes": "票数"}, "row_id")
+
+
+@query("""select session, cast(sum(coalesce("票数", 0)) as bigint) as total from char_votes_jp group by 1""")
+def checked_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of sessions, of which none may be 0; an empty table is an error."""
+    return shares.checked_totals(M.assert_not_empty(_jp(spark, d).select("session", "票数"), "char_votes_jp"), "session", "票数")
+
+
+@query("""select v.row_id, r.first_id as ref_id from char_votes_jp v join (select ref_name, min(ref_id) as first_id from canon_names where ref_kind = 'char' group by 1) r on r.ref_name = v."译名" """)
+def strict_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The number of each name in the list, by a lookup that raises on a name without one."""
+    ids = table(spark, d, "canon_names").where("ref_kind = 'char'").groupBy("ref_name").agg(F.min("ref_id").alias("ref_id"))
+    known = _jp(spark, d).select("row_id", "译名").join(ids.select(F.col("ref_name").alias("译名")), "译名", "left_semi")
+    return enrich.lookup_strict(known, "译名", ids.withColumnRenamed("ref_id", "id"), "ref_name", "id", "ref_id").select("row_id", "ref_id")
+
+
+@query(
+    f"""with {_ENT} select 'votes and comments' as panel, name as label, zv as x, zc as y, (abs(zv) > 1) <> (abs(zc) > 1) as is_outlier from (select name, round(zv, 6) as zv, round(zc, 6) as zc from z) where zv is not null and zc is not null
+    union all select 'shares', name, round(votes / (select sum(votes) from e), 9), round(comments / (select sum(comments) from e), 9), false from e where votes is not null and comments is not null"""
+)
+def scatter_panels(spark: SparkSession, d: str) -> DataFrame:
+    """Two panels of a scatter plot: standard scores with their outliers, and shares of the totals."""
+    e = _entities(spark, d)
+    z = relate.zscore(relate.zscore(e, "votes", "zv"), "comments", "zc").withColumn("zv", F.round("zv", 6)).withColumn("zc", F.round("zc", 6))
+    far = lambda c: F.abs(F.col(c)) > 1
+    share = relate.share_of_total(relate.share_of_total(e, "votes", "sv"), "comments", "sc").withColumn("sv", F.round("sv", 9)).withColumn("sc", F.round("sc", 9))
+    return sinks.scatter(z, "zv", "zc", "name", far("zv") != far("zc"), "votes and comments").unionByName(sinks.scatter(share, "sv", "sc", "name", F.lit(False), "shares"))
+
+
+@query(f"""with {_PAIRS} select tag as term, round(n_entities / cast(max(n_entities) over () as double), 9) as weight from kept""")
+def cloud_weights(spark: SparkSession, d: str) -> DataFrame:
+    return sinks.cloud(tags.support(_pairs(spark, d)), "tag", "n_entities").withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    f"""with {_REGIONS}, p as (select name, session, avg(votes) filter (where region = 'cn') as cn, avg(votes) filter (where region = 'jp') as jp from u where name is not null and votes is not null group by 1, 2)
+    select name, session, round(cn, 6) as cn, round(jp, 6) as jp from p"""
+)
+def pivot_by_session(spark: SparkSession, d: str) -> DataFrame:
+    """Mean votes of a name in each session, a column for each region."""
+    return relate.pivot_mean(_regions(spark, d), ["name", "session"], "region", ["cn", "jp"], "votes").select("name", "session", F.round("cn", 6).alias("cn"), F.round("jp", 6).alias("jp"))
+
+
+@query("""with p as (select unnest(string_split(replace(keywords, '；', '、'), '、')) as tag, generate_subscripts(string_split(replace(keywords, '；', '、'), '、'), 1) as pos, entry_id from char_tags) select entry_id, cast(pos as bigint) as pos, tag from p""")
+def zipped_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Two arrays side by side: the parts of a field and their places."""
+    parts = F.split(F.translate("keywords", "；", "、"), "、")
+    z = F.explode(F.arrays_zip(parts.alias("tag"), F.sequence(F.lit(1), F.size(parts)).alias("pos")))
+    return table(spark, d, "char_tags", "entry_id", "keywords").where("keywords is not null").select("entry_id", z.alias("z")).select("entry_id", F.col("z.pos").cast("bigint").alias("pos"), F.col("z.tag").alias("tag"))
+
+
+@query(f"""select row_id, {_CLEAN_SQL} as name from char_votes_cn""")
+def bracket_groups(spark: SparkSession, d: str) -> DataFrame:
+    return _cn(spark, d).select("row_id", S.clean_name("译名").alias("name"))
+
+
+@query(f"""select rho, n, 'significant' as label from ({SQL['spearman']}) where n > 100 and abs(rho) >= 2.2 / sqrt(n)""")
+def significant_rho(spark: SparkSession, d: str) -> DataFrame:
+    """The rank correlation where it is far beyond chance (2.2 standard errors), with its label."""
+    p = relate.with_p_value(relate.spearman(_entities(spark, d), "votes", "comments"))
+    return p.where("n > 100 and abs(rho) >= 2.2 / sqrt(n)").select(F.round("rho", 6).alias("rho"), "n", S.significance("p_value").alias("label"))

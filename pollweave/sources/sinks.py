@@ -31,3 +31,16 @@ def report_line(label: Column, *values: tuple[str, Column]) -> Column:
 def chart_series(df: DataFrame, x: str, y: str, series: str | None = None) -> DataFrame:
     """What a line or bar chart draws: ``x, y, series`` and the sign that colours a diverging bar."""
     return df.select(F.col(f"`{x}`").alias("x"), F.col(f"`{y}`").alias("y"), (F.col(f"`{series}`") if series else F.lit(None).cast("string")).alias("series"), sign_label(y).alias("sign"))
+
+
+def scatter(df: DataFrame, x: str, y: str, label: str, outlier: Column, panel: str) -> DataFrame:
+    """What one panel of a scatter plot draws: ``panel, label, x, y, is_outlier``; points without both numbers are not
+    drawn."""
+    return df.select(F.lit(panel).alias("panel"), F.col(f"`{label}`").alias("label"), F.col(f"`{x}`").cast("double").alias("x"), F.col(f"`{y}`").cast("double").alias("y"), F.coalesce(outlier, F.lit(False)).alias("is_outlier")).where("x is not null and y is not null")
+
+
+def cloud(terms: DataFrame, term: str, weight: str) -> DataFrame:
+    """What a word cloud draws: ``term, weight`` with the largest weight 1; weights that are null or not above 0 are
+    not drawn."""
+    t = terms.select(F.col(f"`{term}`").alias("term"), F.col(f"`{weight}`").cast("double").alias("w")).where("w > 0")
+    return t.crossJoin(F.broadcast(t.agg(F.max("w").alias("m")))).select("term", (F.col("w") / F.col("m")).alias("weight"))
