@@ -331,7 +331,8 @@ def mapped(values: DataFrame, reference: DataFrame, threshold: float = THRESHOLD
     gives the learning a start and takes up what it finds. Empty tables give empty results; values without
     letters or digits are unmatched.
     """
-    todo = written(values.select("value").where("value is not null").distinct())  # read by every round
+    # read by every round; few bytes and much work each, so not left to coalescing by size
+    todo = written(values.select("value").where("value is not null").distinct().repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     refs = _sets(reference, None, True, False)
     if (ref := _in_memory(refs)) is not None and threshold in ref.postings:
         names = {r["value"] for r in reference.select("value").where("value is not null").distinct().collect()}
