@@ -160,3 +160,108 @@ def keyword_clusters(spark: SparkSession, d: str) -> DataFrame:
 
     k = table(spark, d, "keyword_clusters", "keyword", "run_id").withColumn("keyword", ustrip("keyword")).where("keyword <> ''")
     return topics.keyword_clusters(k, "keyword", "run_id")
+
+
+# pages of entities: entity -> addresses with suffixes -> cached pages -> terms of all pages of the entity
+
+_BASE = "https://pages.example/"
+#: Suffixes of an entity's addresses: the kinds of text that are kept about it.
+SUFFIXES = ("/poll_comment", "/forum_thread", "/wiki_page", "/music_review", "/news_digest", "/support_letter")
+_LIST = ", ".join(f"'{x}'" for x in SUFFIXES)
+_ENTITY_PAGES = f"""cache as (select doc_id, md5('{_BASE}' || subject || '/' || source) as k, text from documents where subject is not null and source is not null),
+urls as (select name, s as suffix, '{_BASE}' || name || s as url from (select distinct "译名" as name from char_dim), (select unnest([{_LIST}]) as s)),
+pages as (select name, doc_id, text from urls join cache on md5(url) = k)"""
+
+
+def _entity_pages(spark: SparkSession, d: str) -> DataFrame:
+    """``(name, suffix, url, doc_id, text)`` of the cached pages of each entity's addresses."""
+    docs = table(spark, d, "documents", "doc_id", "subject", "source", "text").where("subject is not null and source is not null")
+    cache = docs.select("doc_id", F.md5(F.concat(F.lit(_BASE), "subject", F.lit("/"), "source")).alias("url_md5"), "text")
+    names = table(spark, d, "char_dim").select(F.col("译名").alias("name")).distinct()
+    urls = K.suffixed(names, "name", list(SUFFIXES), _BASE).withColumn("url_md5", F.md5("url"))
+    return urls.join(cache, "url_md5").select("name", "suffix", "url", "doc_id", "text")
+
+
+@query(f"with {_ENTITY_PAGES} select name, cast(count(*) as bigint) as n_pages, cast(sum(length(text)) as bigint) as n_chars, cast(min(doc_id) as bigint) as first_page from pages group by 1")
+def entity_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _entity_pages(spark, d).groupBy("name").agg(F.count("*").alias("n_pages"), F.sum(F.length("text")).cast("bigint").alias("n_chars"), F.min("doc_id").cast("bigint").alias("first_page"))
+
+
+_ENTITY_TERMS = f"""{_ENTITY_PAGES}, t as (select name, doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) as term, generate_subscripts(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'), 1) as i from pages),
+c as (select name, term, cast(count(*) as bigint) as tf, min(lpad(cast(doc_id as varchar), 20, '0') || lpad(cast(i as varchar), 12, '0')) as pos from t group by 1, 2)"""
+
+
+@query(f"with {_ENTITY_TERMS}, r as (select name, term, tf, cast(row_number() over (partition by name order by tf desc, pos, term) as bigint) as rank from c where {_ADMIT}) select * from r where rank <= 20")
+def entity_top_terms(spark: SparkSession, d: str) -> DataFrame:
+    """The commonest terms of each entity over all its pages."""
+    c = K.entity_counts(_entity_pages(spark, d), "name", "text", "doc_id")
+    return K.top_terms(K.filtered(c, "freq", _stop(spark)), "name")
+
+
+@query(
+    f"""with {_ENTITY_TERMS}, n as (select count(distinct name) as n from c), df as (select term, count(*) as df from c group by 1),
+    w as (select name, c.term, tf * (ln((1 + n) / cast(1 + df as double)) + 1) as w from c join df using (term), n),
+    s as (select name, term, w / sqrt(sum(w * w) over (partition by name)) as score from w),
+    r as (select name, term, score, cast(row_number() over (partition by name order by round(score, 9) desc, term) as bigint) as rank from s)
+    select name, term, round(score, 6) as score, rank from r where rank <= 50"""
+)
+def entity_tfidf(spark: SparkSession, d: str) -> DataFrame:
+    """TF-IDF of each entity's pages taken together, against the other entities."""
+    return K.tfidf(K.entity_counts(_entity_pages(spark, d), "name", "text", "doc_id"), "name").withColumn("score", F.round("score", 6))
+
+
+@query(
+    f"""with {_TOK}, n as (select count(distinct doc_id) as n from c), idf as (select term, ln(n / cast(count(*) as double)) as idf from c, n group by term, n),
+    s as (select doc_id, c.term, pos, tf / cast(sum(tf) over (partition by doc_id) as double) * idf as score from c join idf using (term)),
+    r as (select doc_id, term, score, cast(row_number() over (partition by doc_id order by round(score, 9) desc, pos, term) as bigint) as rank from s) select doc_id, term, round(score, 6) as score, rank from r where rank <= 20"""
+)
+def tfidf_alone(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's terms by a given table of idf (here that of the documents themselves)."""
+    c = K.term_counts(_docs(spark, d), "doc_id", "text")
+    n = _docs(spark, d).where(F.size(S.tokens("text")) > 0).agg(F.count("*").alias("n"))
+    return K.tfidf_of_document(c, "doc_id", K.corpus_idf(c, n)).withColumn("score", F.round("score", 6))
+
+
+def _segmenter(spark: SparkSession, d: str):
+    from pollweave.operators import segment
+
+    names = table(spark, d, "char_dim").select(F.col("译名").alias("w"))
+    keywords = table(spark, d, "keyword_clusters", "keyword").select(ustrip("keyword").alias("w")).where("w <> ''")
+    return segment.dictionary(names.unionByName(keywords), "w")
+
+
+@query()
+def segmented_terms(spark: SparkSession, d: str) -> DataFrame:
+    """Occurrences of each word where texts are cut by a dictionary of names and keywords."""
+    from pollweave.operators import segment
+
+    words = segment.segmented(_docs(spark, d), "doc_id", "text", _segmenter(spark, d))
+    return words.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+
+
+@query()
+def textrank_words(spark: SparkSession, d: str) -> DataFrame:
+    """Graph ranking over dictionary words: the best 50 of each document, of those the ones that are neither stop words
+    nor single letters, and of those 20."""
+    from pollweave.operators import segment
+
+    words = segment.segmented(_docs(spark, d), "doc_id", "text", _segmenter(spark, d))
+    return K.textrank(words, "doc_id", F.col("words"), 20, first=50, keep=lambda w: len(w) > 1 and w not in STOP)
+
+
+@query()
+def method_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """The clusters of keywords by the run they come from, given back to each method's keywords."""
+    from pollweave.operators import topics
+
+    k = table(spark, d, "keyword_clusters", "method", "keyword", "run_id").withColumn("keyword", ustrip("keyword")).where("keyword <> ''")
+    return topics.cluster_labels(k, "method", "keyword", "run_id")
+
+
+@query()
+def context_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain: keywords of every document by four methods, clustered by the documents they come from, and given
+    back to the methods."""
+    from pollweave.operators import topics
+
+    return topics.cluster_labels(K.contexts(_docs(spark, d), "doc_id", "text", _stop(spark)), "method", "keyword", "source")
