@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LABELS = Path(__file__).with_name("boilerplate_labels.csv")
+LABELS = Path(__file__).with_name("blocks_labelled_by_rules.csv")
 #: A short block is counted as repeated from so many pages and this share of all pages on. The share bounds
 #: the table that is sent to the tasks: at most its inverse times the short blocks of a page.
 TEMPLATE_PAGES, TEMPLATE_SHARE = 3, 1 / 2000
