@@ -118,34 +118,34 @@ class Grammar:
         return out
 
 
-def known_names(names: DataFrame, column: str, separators: str = SEPARATORS) -> list[str]:
-    """The names of ``column`` that contain a sign of the grammar and so need the dictionary.
-
-    Only those are collected. Their total length is checked against ``KNOWN_CHARS_MAX`` before; beyond
-    it a ValueError asks for ``candidates`` (see :func:`split_packed`).
-    """
+def _signed(names: DataFrame, column: str, separators: str) -> DataFrame:
+    """``(n)``: the distinct names that contain a sign of the grammar and so need the dictionary."""
     signs = "".join(sorted(set(separators) | {c for p in QUOTES + BRACKETS for c in p}))
-    hit = names.select(F.col(f"`{column}`").alias("n")).where(F.col("n").isNotNull() & (F.translate("n", signs, "") != F.col("n"))).distinct()
+    return names.select(F.col(f"`{column}`").alias("n")).where(F.col("n").isNotNull() & (F.translate("n", signs, "") != F.col("n"))).distinct()
+
+
+def known_names(names: DataFrame, column: str, separators: str = SEPARATORS) -> list[str] | tuple[DataFrame, str]:
+    """What :func:`split_packed` needs of the names of ``column``: the list of those that contain a sign of the grammar,
+    or, where they have more than ``KNOWN_CHARS_MAX`` characters in all (summed before any is collected), the table and
+    its column, which is then joined instead."""
+    hit = _signed(names, column, separators)
     total = hit.agg(F.coalesce(F.sum(F.length("n")), F.lit(0))).first()[0]
-    if total > KNOWN_CHARS_MAX:
-        raise ValueError(f"{total} characters of names with separators: pass candidates= instead of known=")
-    return sorted(r[0] for r in hit.collect())
+    return (hit, "n") if total > KNOWN_CHARS_MAX else sorted(r[0] for r in hit.collect())
 
 
-def _spans(field: str | None, separators: str) -> list[str]:
-    """Every run of adjacent pieces of a field that might be one name (two pieces or more)."""
+def _spans(field: str | None, separators: str, most: int) -> list[str]:
+    """Every run of two to ``most`` adjacent pieces of a field: what might be a name that contains separators."""
     if not field:
         return []
     cuts = [-1, *[i for i, c in enumerate(field) if c in separators], len(field)]
-    return list({field[a + 1 : b].strip(" 　\"'“”「」[]") for i, a in enumerate(cuts) for b in cuts[i + 2 :]} - {""})
+    return list({field[a + 1 : b].strip(" 　\"'“”「」[]") for i, a in enumerate(cuts) for b in cuts[i + 2 : i + 1 + most]} - {""})
 
 
 def split_packed(
     df: DataFrame,
     column: str,
     keys: Sequence[str],
-    known: Iterable[str] = (),
-    candidates: tuple[DataFrame, str] | None = None,
+    known: Iterable[str] | tuple[DataFrame, str] = (),
     separators: str = SEPARATORS,
     pos: str = "pos",
     val: str = "val",
@@ -156,11 +156,11 @@ def split_packed(
     ``val`` (no outer blanks, no quoting), ``flag`` and ``count`` (values in that field).
 
     ``known`` are names that are one value whatever signs they contain. Where they are too many to be
-    sent along, give ``candidates=(table, column)``: the runs of adjacent pieces of each field are then
-    joined to that table and only a field's own hits go to its parser (keys must be unique then).
+    sent along, give ``(table, column)`` (as :func:`known_names` does): the runs of adjacent pieces of each field, as
+    long as a name may be, are then joined to that table and only a field's own hits go to its parser.
 
     Null, empty and blank fields give no rows; repeated rows give repeated results; columns of ``df``
-    other than the keys are dropped, so their names cannot clash. No shuffle with ``known``.
+    other than the keys are dropped, so their names cannot clash. No shuffle with a list of names.
     """
     for k in keys:
         if k in (pos, val, flag, count):
@@ -168,18 +168,21 @@ def split_packed(
     types = {f.name: f.dataType for f in df.schema.fields}
     out = T.StructType([*[T.StructField(k, types[k]) for k in keys], T.StructField(pos, T.LongType()), T.StructField(val, T.StringType()), T.StructField(flag, T.StringType()), T.StructField(count, T.LongType())])
     slim = df.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{column}`").alias("__field")).where("__field is not null and __field <> ''")
-    grammar = Grammar(known, separators)
-    per_row = candidates is not None
+    per_row = isinstance(known, tuple) and len(known) == 2 and isinstance(known[0], DataFrame)
+    grammar = Grammar(() if per_row else known, separators)
     if per_row:
-        names, name = candidates
-        spans = F.udf(lambda s: _spans(s, separators), "array<string>")
-        hits = (
-            slim.select(*[f"`{k}`" for k in keys], F.explode(spans("__field")).alias("__span"))
-            .join(names.select(F.col(f"`{name}`").alias("__span")).distinct(), "__span", "left_semi")
-            .groupBy(*[f"`{k}`" for k in keys])
-            .agg(F.collect_set("__span").alias("__hits"))
-        )
-        slim = slim.join(hits, list(keys), "left")
+        names, name = known
+        own = names.select(F.col(f"`{name}`").alias("__span")).where("__span is not null").distinct()
+        pieces = own.agg(F.max(F.length("__span") - F.length(F.translate("__span", separators, "")))).first()[0] or 0
+        signs = "".join({c for p in QUOTES + BRACKETS for c in p})
+        quoted = own.where(F.translate("__span", signs, "") != F.col("__span"))
+        spans = F.udf(lambda s: _spans(s, separators, pieces + 1), "array<string>", useArrow=True)
+        # distinct fields are parsed once each, so a field that fills a third of the table is joined once
+        fields = slim.select("__field").distinct()
+        hits = fields.select("__field", F.explode(spans("__field")).alias("__span")).join(own, "__span", "left_semi")
+        parts = fields.select("__field", F.explode(F.split("__field", f"[{re.escape(separators)}]")).alias("__span")).withColumn("__span", F.trim("__span"))
+        hits = hits.unionByName(parts.join(quoted, "__span", "left_semi")).groupBy("__field").agg(F.collect_set("__span").alias("__hits"))
+        slim = slim.join(hits, "__field", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, list] = {}

@@ -72,14 +72,16 @@ def difference(heat: DataFrame, a: tuple[str, int], b: tuple[str, int], least: f
 
 
 def to_json(ranked_heat: DataFrame) -> DataFrame:
-    """``(region, json)``: session -> list of [tag, value], largest first."""
+    """``(region, session_no, json)``: the document ``{session: [[tag, value], ...]}`` of each session, largest first.
+    The sessions of a region side by side are the region's document; a row holds the tags of one session only."""
     pair = F.array(F.col("tag"), F.col("heat").cast("string"))
     per = ranked_heat.groupBy("region", "session_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", pair.alias("p")))), lambda x: x["p"]).alias("pairs"))
-    return per.groupBy("region").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("session_no").cast("string"), "pairs"))))).alias("json"))
+    return per.select("region", "session_no", F.to_json(F.create_map(F.col("session_no").cast("string"), F.col("pairs"))).alias("json"))
 
 
-def from_json(docs: DataFrame, column: str) -> DataFrame:
-    """``(session_no, tag, heat)`` of documents written by :func:`to_json`; unreadable documents give no rows."""
-    m = docs.select(F.from_json(col(column), "map<string,array<array<string>>>").alias("m")).select(F.explode("m").alias("session", "pairs"))
-    p = m.select(F.col("session").cast("bigint").alias("session_no"), F.explode("pairs").alias("p"))
-    return p.select("session_no", F.get("p", F.lit(0)).alias("tag"), F.get("p", F.lit(1)).try_cast("double").alias("heat"))
+def from_json(docs: DataFrame, column: str, *keys: str) -> DataFrame:
+    """``(keys, session_no, tag, heat)`` of documents written by :func:`to_json`, or of whole regions; unreadable
+    documents give no rows."""
+    m = docs.select(*[col(k) for k in keys], F.from_json(col(column), "map<string,array<array<string>>>").alias("m")).select(*[col(k) for k in keys], F.explode("m").alias("session", "pairs"))
+    p = m.select(*[col(k) for k in keys], F.col("session").cast("bigint").alias("session_no"), F.explode("pairs").alias("p"))
+    return p.select(*[col(k) for k in keys], "session_no", F.get("p", F.lit(0)).alias("tag"), F.get("p", F.lit(1)).try_cast("double").alias("heat"))

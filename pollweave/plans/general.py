@@ -57,6 +57,31 @@ def p2_unified(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {"p1_found": p1_found, "p1_flags": p1_flags, "p2_found": p2_found, "p2_versions": p2_versions, "p2_steps": p2_steps, "p2_unified": p2_unified}
 
 
+# The signs that separate or enclose values of a packed field, for SQL (quotes doubled).
+_SIGNS = "|｜;；、，,/／+＋&＆\"“”「」『』''‘’＂[]【】《》〈〉｛｝{}"
+_ENDS = "\\s\\x{3000}\\x{A0}\"“”「」『』''‘’＂\\[\\]【】《》〈〉｛｝{}"
+
+
+def members_sql(*tables: str) -> str:
+    """SQL of the members of packed fields, said apart from the operator's grammar: names that hold signs are masked
+    (each sign becomes a private character), fields are cut at the signs left, quotes and brackets go, and the masks
+    come off. ``member(f, i, member)`` has the parts of each distinct field in order, empty ones included."""
+    fields = " union ".join(f"""select distinct "所属角色" as f from {t} where "所属角色" <> ''""" for t in tables)
+    return f"""sig as (select '{_SIGNS}' as signs, string_agg(chr(57344 + cast(i as int)), '' order by i) as masks from range(0, length('{_SIGNS}')) r(i)),
+    tricky as (select list(x order by length(x) desc, x) as names from (select distinct "译名" as x from char_dim, sig where translate("译名", signs, '') <> "译名")),
+    fields as ({fields}),
+    clear as (select f, replace(replace(f, '\\"', '"'), '""', '"') as g from fields),
+    hidden as (select f, string_split_regex(list_reduce(list_prepend(g, names), lambda acc, x: replace(acc, x, translate(x, signs, masks))), '[|｜;；、，,/／+＋&＆\\t\\n\\r]') as g, signs, masks from clear, tricky, sig),
+    parts as (select f, signs, masks, unnest(g) as x, generate_subscripts(g, 1) as i from hidden),
+    member as (select f, i, translate(regexp_replace(x, '^[{_ENDS}]+|[{_ENDS}]+$', '', 'g'), masks, signs) as member from parts)"""
+
+
+_P1_SQL = f"""with {members_sql(*PACKED)},
+    src as ({" union all ".join(f"select '{t}' as src, row_id, \"所属角色\" as f from {t}" for t in PACKED)}),
+    r as (select src, row_id, member as val, cast(row_number() over (partition by src, row_id order by i) as bigint) as pos, count(*) over (partition by src, row_id) as n from src join member using (f) where member <> '')
+    select src, row_id, pos, val from r where n >= 2"""
+
+
 def _values(pairs: list[tuple[str, str, str]]) -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     return ", ".join(f"({', '.join(map(quote, p))})" for p in pairs)
@@ -82,4 +107,4 @@ def _drift_sql() -> str:
     union all select c.book, c.sheet_no, c.header, 'retyped' from c join b on b.book = c.book and b.sheet_no = c.sheet_no and b.field = c.field where b.type <> c.type"""
 
 
-SQL: dict[str, str] = {"p2_found": _drift_sql()}
+SQL: dict[str, str] = {"p1_found": _P1_SQL, "p2_found": _drift_sql()}

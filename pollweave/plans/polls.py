@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pollweave.functions import scalars as S
 from pollweave.functions import semantics as M
 from pollweave.operators import document, enrich, packed, relate, shares, tags
+from pollweave.plans.general import members_sql
 from pollweave.sources import sinks
 from pollweave.sources.tables import table
 
@@ -255,16 +256,7 @@ def spearman_pvalue(spark: SparkSession, d: str) -> DataFrame:
     return relate.with_p_value(relate.spearman(_entities(spark, d), "votes", "comments"))
 
 
-# The members of a packed field, said in SQL apart from the operator's grammar: names that hold signs are masked (each sign
-# becomes a private character), the field is cut at the signs left, quotes and brackets go, and the masks come off.
-_SIGNS = "|｜;；、，,/／+＋&＆\"“”「」『』''‘’＂[]【】《》〈〉｛｝{}"
-_MEMBERS = f"""sig as (select '{_SIGNS}' as signs, string_agg(chr(57344 + cast(i as int)), '' order by i) as masks from range(0, length('{_SIGNS}')) r(i)),
-tricky as (select list(x order by length(x) desc, x) as names from (select distinct "译名" as x from char_dim, sig where translate("译名", signs, '') <> "译名")),
-fields as (select distinct "所属角色" as f from music_votes_jp where "所属角色" <> ''),
-clear as (select f, replace(replace(f, '\\"', '"'), '""', '"') as g from fields),
-hidden as (select f, list_reduce(list_prepend(g, names), lambda acc, x: replace(acc, x, translate(x, signs, masks))) as g, signs, masks from clear, tricky, sig),
-parts as (select f, signs, masks, unnest(string_split_regex(g, '[|｜;；、，,/／+＋&＆\\t\\n\\r]')) as x from hidden),
-member as (select f, translate(regexp_replace(x, '^[\\s\\x{{3000}}\\x{{A0}}"“”「」『』''‘’＂\\[\\]【】《》〈〉｛｝{{}}]+|[\\s\\x{{3000}}\\x{{A0}}"“”「」『』''‘’＂\\[\\]【】《》〈〉｛｝{{}}]+$', '', 'g'), masks, signs) as member from parts)"""
+_MEMBERS = members_sql("music_votes_jp")
 
 
 def _songs_with_members(spark: SparkSession, d: str, songs: DataFrame, *values: str) -> DataFrame:
@@ -457,16 +449,18 @@ def keyset_diff_topn(spark: SparkSession, d: str) -> DataFrame:
     return tags.difference(_heat(spark, d), ("cn", 11), ("jp", 20), n=25).select("tag", F.round("difference", 9).alias("difference"))
 
 
-@query()
+@query(_HEAT + "select region, session_no, cast(count(*) as bigint) as n_tags, arg_min(tag, rank) as first_tag, arg_max(tag, rank) as last_tag from ranked group by 1, 2")
 def tag_heat_json(spark: SparkSession, d: str) -> DataFrame:
-    return tags.to_json(tags.ranked(_heat(spark, d)))
+    """The JSON documents of all sessions, read for how many tags each has and which stand first and last."""
+    docs = tags.to_json(tags.ranked(_heat(spark, d))).withColumn("p", F.expr("from_json(json, 'map<string,array<array<string>>>')[cast(session_no as string)]"))
+    return docs.select("region", "session_no", F.size("p").cast("bigint").alias("n_tags"), F.get(F.get("p", F.lit(0)), F.lit(0)).alias("first_tag"), F.get(F.element_at("p", -1), F.lit(0)).alias("last_tag"))
 
 
 @query(_HEAT + "select region, session_no, tag, round(heat, 9) as heat from ranked where rank <= 3")
 def json_explode(spark: SparkSession, d: str) -> DataFrame:
     """Ranked tags written as JSON documents and read again; the first three of each session."""
     docs = tags.to_json(tags.ranked(_heat(spark, d)).where("rank <= 3"))
-    return tags.from_json(docs.where("region = 'jp'"), "json").withColumn("region", F.lit("jp")).unionByName(tags.from_json(docs.where("region = 'cn'"), "json").withColumn("region", F.lit("cn"))).select("region", "session_no", "tag", F.round("heat", 9).alias("heat"))
+    return tags.from_json(docs, "json", "region").select("region", "session_no", "tag", F.round("heat", 9).alias("heat"))
 
 
 # consolidated documents

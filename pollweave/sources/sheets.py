@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import os
 import re
+import shutil
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -106,34 +107,52 @@ class SheetReader(DataSourceReader):
 
 
 class _Staged(WriterCommitMessage):
-    def __init__(self, file: str):
-        self.file = file
+    def __init__(self, folder: str, sizes: dict[str, tuple[str, int]]):
+        self.folder, self.sizes = folder, sizes  # sheet -> file and its bytes
 
 
 class SheetWriter(DataSourceWriter):
+    """Tasks stage their rows, a file for each sheet, in a folder beside the workbook; the driver joins them.
+
+    The folder of the workbook must therefore be one that all executors and the driver share: the driver checks that
+    it sees every staged file whole and refuses to write a workbook if it does not.
+    """
+
     def __init__(self, options: dict, schema):
         self.path = options["path"]
         self.columns = [f.name for f in schema.fields]
         self.at = self.columns.index(options.get("sheetcolumn", "session"))
+        self.folder = f"{self.path}.staged-{uuid.uuid4().hex}"
 
     def write(self, rows) -> _Staged:
-        os.makedirs(self.path + ".staged", exist_ok=True)
-        file = os.path.join(self.path + ".staged", uuid.uuid4().hex)
-        with open(file, "w", newline="", encoding="utf-8") as f:
-            w = csv.writer(f)
+        os.makedirs(self.folder, exist_ok=True)
+        files: dict[str, tuple] = {}
+        try:
             for r in rows:
-                w.writerow(["" if v is None else v for v in r])
-        return _Staged(file)
-
-    def _rows(self, messages: list[_Staged], sheet: str | None = None) -> Iterator[list[str]]:
+                sheet = "" if r[self.at] is None else str(r[self.at])
+                if sheet not in files:
+                    name = os.path.join(self.folder, uuid.uuid4().hex)
+                    f = open(name, "w", newline="", encoding="utf-8")  # noqa: SIM115 - closed below
+                    files[sheet] = (name, f, csv.writer(f))
+                files[sheet][2].writerow(["" if v is None else v for v in r])
+        finally:
+            for _, f, _ in files.values():
+                f.close()
+        return _Staged(self.folder, {s: (n, os.path.getsize(n)) for s, (n, *_) in files.items()})
+
+    def _rows(self, messages: list[_Staged], sheet: str) -> Iterator[list[str]]:
         for m in messages:
-            with open(m.file, newline="", encoding="utf-8") as f:
-                for r in csv.reader(f):
-                    if sheet is None or r[self.at] == sheet:
-                        yield r
+            if sheet in m.sizes:
+                with open(m.sizes[sheet][0], newline="", encoding="utf-8") as f:
+                    yield from csv.reader(f)
 
     def commit(self, messages: list[_Staged]) -> None:
-        names = sorted({r[self.at] for r in self._rows(messages)}, key=lambda s: (int(m.group()) if (m := re.match(r"\d+", s)) else 1 << 60, s))
+        messages = [m for m in messages if m is not None]
+        for m in messages:
+            for file, size in m.sizes.values():
+                if not os.path.exists(file) or os.path.getsize(file) != size:
+                    raise OSError(f"{file} was staged by a task but is not seen here: {os.path.dirname(self.path)} must be shared by all nodes")
+        names = sorted({s for m in messages for s in m.sizes}, key=lambda s: (int(m.group()) if (m := re.match(r"\d+", s)) else 1 << 60, s))
         main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
         office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
         with zipfile.ZipFile(self.path, "w", zipfile.ZIP_DEFLATED) as z:
@@ -154,11 +173,7 @@ class SheetWriter(DataSourceWriter):
         self.abort(messages)
 
     def abort(self, messages: list[_Staged]) -> None:
-        for m in messages:
-            if m is not None and os.path.exists(m.file):
-                os.remove(m.file)
-        if os.path.isdir(self.path + ".staged") and not os.listdir(self.path + ".staged"):
-            os.rmdir(self.path + ".staged")
+        shutil.rmtree(self.folder, ignore_errors=True)
 
 
 class Sheets(DataSource):

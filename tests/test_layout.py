@@ -30,3 +30,8 @@ def test_no_invisible_characters_in_sources():
     odd = {chr(c) for c in (*range(0x200B, 0x2010), *range(0x2028, 0x2030), *range(0x2060, 0x2070), 0xFEFF, 0xAD, 0xA0)}
     for path in [*(ROOT / "pollweave").rglob("*.py"), *ROOT.glob("*.py")]:
         assert not odd & set(path.read_text(encoding="utf-8")), path
+
+
+def test_nothing_is_put_in_temporary_folders():
+    for path in (ROOT / "pollweave").rglob("*.py"):
+        assert "tempfile" not in _imports(path) and "localCheckpoint" not in path.read_text(encoding="utf-8"), path

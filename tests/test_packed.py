@@ -2,7 +2,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pollweave.operators.packed import Grammar, known_names, split_packed
+from pollweave.operators import packed
+from pollweave.operators.packed import Grammar, split_packed
 
 KNOWN = ["桔梗,笹里", "绫帆 & 萌黄", '铃峰"小铃"', "弥荻|鸢尾"]
 
@@ -67,9 +68,23 @@ def test_split(spark):
         split_packed(df, "f", ["pos"])
 
 
-def test_candidates_equal_known(spark):
-    rows = [(1, "桔梗,笹里,雪"), (2, "雪|弥荻|鸢尾"), (3, "a,b")]
+def test_joined_names_equal_sent_names(spark, monkeypatch):
+    odd = [*KNOWN, '铃峰"小铃"', "甲,乙,丙", "Quill/Ox"]
+    rows = [(1, "桔梗,笹里,雪"), (2, "雪|弥荻|鸢尾"), (3, "a,b"), (4, '雪;铃峰"小铃";a'), (5, "甲,乙,丙,丁"), (6, "x、甲,乙"), (7, '["a,b","甲,乙,丙"]'), (8, "「甲,乙,丙」|Quill/Ox"), (8, "雪|雪"), (9, "'甲,乙,丙'"), (10, None)]
     df = spark.createDataFrame(rows, "id int, f string")
-    names = spark.createDataFrame([(k,) for k in KNOWN], "n string")
+    names = spark.createDataFrame([(k,) for k in [*odd, None, "plain"]], "n string")
     key = lambda d: sorted((r["id"], r["pos"], r["val"]) for r in d.collect())
-    assert key(split_packed(df, "f", ["id"], candidates=(names, "n"))) == key(split_packed(df, "f", ["id"], known_names(names, "n")))
+    sent = packed.known_names(names, "n")
+    assert isinstance(sent, list) and "plain" not in sent
+    monkeypatch.setattr(packed, "KNOWN_CHARS_MAX", 3)
+    joined = packed.known_names(names, "n")
+    assert isinstance(joined, tuple)
+    want = key(split_packed(df, "f", ["id"], sent))
+    assert key(split_packed(df, "f", ["id"], joined)) == want and (5, 1, "甲,乙,丙") in want and (4, 2, '铃峰"小铃"') in want
+    assert split_packed(df.limit(0), "f", ["id"], joined).count() == 0 == split_packed(df, "f", ["id"], (names.limit(0), "n")).where("id = 10").count()
+
+
+def test_spans_are_as_long_as_names():
+    got = packed._spans("|".join("abcdefgh"), "|", 3)
+    assert sorted(got) == sorted(["a|b", "b|c", "c|d", "d|e", "e|f", "f|g", "g|h", "a|b|c", "b|c|d", "c|d|e", "d|e|f", "e|f|g", "f|g|h"])
+    assert len(packed._spans("a|" * 20_000, "|", 4)) <= 8 and packed._spans(None, "|", 2) == []

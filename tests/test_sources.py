@@ -1,4 +1,5 @@
 import pandas as pd
+import pytest
 
 from pollweave.sources import documents, sheets, sinks
 from pollweave.streaming import votes as V
@@ -16,6 +17,19 @@ def test_workbook_round_trip(spark, tmp_path):
     assert sheets.workbook(spark, path, {"votes": "int"}, sheet="2").count() == 2
 
 
+def test_workbook_needs_a_shared_folder(tmp_path):
+    from types import SimpleNamespace
+
+    w = sheets.SheetWriter({"path": str(tmp_path / "b.xlsx")}, SimpleNamespace(fields=[SimpleNamespace(name="session"), SimpleNamespace(name="v")]))
+    done = [w.write(iter([("1", 2), (None, 3)])), w.write(iter([])), None]
+    w.commit(done)
+    assert [n for n, _ in sheets.sheet_names(str(tmp_path / "b.xlsx"))] == ["1", ""] and not [p for p in tmp_path.iterdir() if "staged" in p.name]
+    lost = [w.write(iter([("1", 2)]))]
+    w.abort(lost)  # as on a node whose folder is its own
+    with pytest.raises(OSError, match="shared by all nodes"):
+        w.commit(lost)
+
+
 def test_headers():
     assert sheets.headers(["a ", "b", "a", None]) == ["a", "b", "a.1", "column4"]
 
