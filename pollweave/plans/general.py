@@ -107,4 +107,10 @@ def _drift_sql() -> str:
     union all select c.book, c.sheet_no, c.header, 'retyped' from c join b on b.book = c.book and b.sheet_no = c.sheet_no and b.field = c.field where b.type <> c.type"""
 
 
-SQL: dict[str, str] = {"p1_found": _P1_SQL, "p2_found": _drift_sql()}
+_VERSIONS_SQL = """with e as (select book, sheet_no, j.key as header, j.type as kind_of from sheet_rows, json_each(record_json) j),
+    h as (select book, sheet_no, header, max(case when kind_of in ('BIGINT', 'UBIGINT') then 0 when kind_of = 'DOUBLE' then 1 when kind_of = 'VARCHAR' then 2 when kind_of = 'ARRAY' then 3 when kind_of <> 'NULL' then 4 end) as i from e group by 1, 2, 3),
+    t as (select book, sheet_no, header, ['whole', 'decimal', 'string', 'array', 'other'][i + 1] as type from h),
+    f as (select book, sheet_no, cast(count(*) as bigint) as n_columns, sha256('[' || string_agg('{"header":' || to_json(header) || coalesce(',"type":"' || type || '"', '') || '}', ',' order by header) || ']') as fingerprint from t group by 1, 2),
+    c as (select *, case when lag(fingerprint) over (partition by book order by sheet_no) = fingerprint then 0 else 1 end as changed from f)
+    select book, sheet_no, cast(sum(changed) over (partition by book order by sheet_no) as int) as version, fingerprint, n_columns from c"""
+SQL: dict[str, str] = {"p2_versions": _VERSIONS_SQL, "p1_found": _P1_SQL, "p2_found": _drift_sql()}
