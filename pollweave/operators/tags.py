@@ -21,6 +21,15 @@ def exclusions(results: DataFrame, entity: str, session: str, rank: str, boundar
     return results.where(col(rank) <= boundary).select(*keys).distinct()
 
 
+def eligible(results: DataFrame, place: str, boundary: int) -> DataFrame:
+    """``(entity, region, session_no, votes)`` of the entities that no region ranks at the boundary or better in the
+    session of that number: what :func:`exclusions` takes off, but from one pass, as places are combined with the votes
+    before anything is compared. Null places exclude nothing; null entities are left out."""
+    per = results.dropna(subset=["entity"]).groupBy("entity", "region", "session_no").agg(sum0("votes").alias("votes"), F.min(col(place)).alias("__p"))
+    best = F.min("__p").over(Window.partitionBy("entity", "session_no"))
+    return per.withColumn("__b", best).where(F.coalesce(F.col("__b") > boundary, F.lit(True))).drop("__p", "__b")
+
+
 def relative_heat(results: DataFrame, entity_tags: DataFrame, excluded: DataFrame | None = None, least: int = 2) -> DataFrame:
     """``(tag, region, session_no, heat)``: the share of the votes of eligible entities that entities with the
     tag have, for every supported tag and every session of every region (0 where it has none).
@@ -34,9 +43,9 @@ def relative_heat(results: DataFrame, entity_tags: DataFrame, excluded: DataFram
         r = r.join(excluded, excluded.columns, "left_anti")
     per = r.groupBy("entity", "region", "session_no").agg(sum0("votes").alias("votes"))
     total = per.groupBy("region", "session_no").agg(F.sum("votes").alias("total"))
-    pairs = entity_tags.dropna().distinct()
-    kept = support(pairs, least=least).select("tag")
-    sums = per.join(pairs.join(kept, "tag"), "entity").groupBy("tag", "region", "session_no").agg(F.sum("votes").alias("votes"))
+    pairs = entity_tags.dropna().distinct().withColumn("__n", F.count("*").over(Window.partitionBy("tag"))).where(F.col("__n") >= least).drop("__n")
+    kept = pairs.select("tag").distinct()
+    sums = per.join(pairs, "entity").groupBy("tag", "region", "session_no").agg(F.sum("votes").alias("votes"))
     grid = kept.crossJoin(F.broadcast(total))
     out = grid.join(sums, ["tag", "region", "session_no"], "left")
     heat = F.when(F.col("total") > 0, F.coalesce("votes", F.lit(0)) / F.when(F.col("total") > 0, F.col("total"))).otherwise(0.0)

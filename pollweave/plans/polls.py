@@ -393,9 +393,7 @@ def _results(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _heat(spark: SparkSession, d: str) -> DataFrame:
-    r = _results(spark, d)
-    out = r.where("place <= 1").select("entity", "session_no").distinct()
-    return tags.relative_heat(r.drop("place"), _pairs(spark, d), out)
+    return tags.relative_heat(tags.eligible(_results(spark, d), "place", 1), _pairs(spark, d))
 
 
 _HEAT = f"""with {_PAIRS},
