@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pollweave.llm import boilerplate, canonical, cooccur, langid, leakage, lookalike, packing, termfreq
 from pollweave.operators import packed
 from pollweave.plans.general import members_sql
-from pollweave.session import broadcast_if_small
+from pollweave.session import broadcast_if_small, written
 from pollweave.sources.tables import table
 
 QUERIES: dict = {}
@@ -49,7 +49,8 @@ def _baskets(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    return _union([cooccur.pairs(b).withColumn("src", F.lit(src)) for src, b in _baskets(spark, d).items()])
+    # the fields are parsed once; their items are read again for the pairs
+    return _union([cooccur.pairs(written(b)).withColumn("src", F.lit(src)) for src, b in _baskets(spark, d).items()])
 
 
 @query
