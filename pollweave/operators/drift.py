@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pollweave.session import broadcast_if_small
+from pollweave.session import broadcast_if_small, written
 
 TYPES = ("whole", "decimal", "string", "array", "other")
 
@@ -221,7 +221,12 @@ def chains(schemas: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -
     field comes first), ``cast`` (values come as ``value``, the field has another type), ``default`` (a field that the
     schema lacks, with the rule's default), ``keep`` (a header that means no field; its values go to ``extra``).
     """
-    v = versions(schemas).withColumn("kind", book_kind(F.col("book")))
+    return _chains(versions(schemas), migrations)
+
+
+def _chains(files: DataFrame, migrations: tuple[Migration, ...]) -> DataFrame:
+    """:func:`chains` of the rows of :func:`versions`."""
+    v = files.withColumn("kind", book_kind(F.col("book")))
     one = v.groupBy("kind", "fingerprint").agg(F.count("*").alias("n_files"), F.any_value("columns").alias("columns"))
     heads = F.transform("columns", lambda x: F.struct(x["header"].alias("header"), resolve(F.col("kind"), x["header"], migrations).alias("field"), x["type"].alias("type")))
     step = lambda op, h, f, val: F.struct(F.lit(op).alias("op"), h.cast("string").alias("header"), f.cast("string").alias("field"), val.cast("string").alias("value"))
@@ -251,10 +256,11 @@ def chains(schemas: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -
 
 def routes(records: DataFrame, migrations: tuple[Migration, ...] = MIGRATIONS) -> DataFrame:
     """``book, sheet_no, version, fingerprint, __f``: for each file the chain it goes through, as header -> field. One
-    row per file."""
-    schemas = file_schemas(records, migrations)
-    v = versions(schemas).select("book", "sheet_no", "version", "fingerprint", book_kind(F.col("book")).alias("kind"))
-    return v.join(chains(schemas, migrations).select("kind", "fingerprint", F.col("means").alias("__f")), ["kind", "fingerprint"]).drop("kind")
+    row per file, written once, as every kind's records are routed by it."""
+    files = written(versions(file_schemas(records, migrations)).select("book", "sheet_no", "version", "fingerprint", "columns"))
+    steps = _chains(files, migrations).select("kind", "fingerprint", F.col("means").alias("__f"))
+    kind = book_kind(F.col("book")).alias("kind")
+    return written(files.select("book", "sheet_no", "version", "fingerprint", kind).join(steps, ["kind", "fingerprint"]).drop("kind"))
 
 
 def _entries(text: Column) -> Column:
