@@ -273,7 +273,7 @@ def features(texts: Sequence[str], known: Mapping[str, Sequence[float]] | None =
 class Tree:
     """A CART decision tree (Gini) for 0/1 labels."""
 
-    def __init__(self, depth: int = 12, least: int = 25):
+    def __init__(self, depth: int = 14, least: int = 12):
         self.depth, self.least, self.nodes = depth, least, np.zeros((0, 5))
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Tree:
