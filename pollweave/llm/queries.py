@@ -111,13 +111,16 @@ with t as (select distinct record, term from (select entry_id as record, {_TRIM(
 n as (select cast(count(distinct record) as bigint) as n from t), c as (select term, cast(count(*) as bigint) as k from t group by 1),
 p as (select a.term as item_a, b.term as item_b, cast(count(*) as bigint) as n_ab from t a join t b on a.record = b.record and a.term < b.term group by 1, 2)
 select item_a, item_b, ca.k as n_a, cb.k as n_b, n_ab, n from p join c ca on ca.term = item_a join c cb on cb.term = item_b, n where n_ab >= 4 and 1000 * n_ab >= n"""
-SQL["p6_found"] = f"""with {members_sql("music_votes_jp")},
+_MET = f"""with {members_sql("music_votes_jp")},
 t as (select distinct src, record, term from (select 'char_tags' as src, entry_id as record, {_TRIM("unnest(string_split_regex(keywords, '[、；]'))")} as term from char_tags
   union all select 'music_votes_jp', row_id, member from music_votes_jp join member on f = "所属角色" where member <> '') where term is not null),
 n as (select src, cast(count(distinct record) as hugeint) as n from t group by 1), c as (select src, term, cast(count(*) as hugeint) as k from t group by 1, 2),
-p as (select a.src, a.term as item_a, b.term as item_b, cast(count(*) as hugeint) as n_ab from t a join t b on a.src = b.src and a.record = b.record and a.term < b.term group by 1, 2, 3)
-select p.src, item_a, item_b from p join n using (src) join c ca on ca.src = p.src and ca.term = item_a join c cb on cb.src = p.src and cb.term = item_b
-where n_ab >= 4 and 1000 * n_ab >= n and n_ab * n >= 3 * ca.k * cb.k"""
+p as (select a.src, a.term as item_a, b.term as item_b, cast(count(*) as hugeint) as n_ab from t a join t b on a.src = b.src and a.record = b.record and a.term < b.term group by 1, 2, 3),
+met as (select p.src, item_a, item_b, ca.k as n_a, cb.k as n_b, n_ab, n from p join n using (src) join c ca on ca.src = p.src and ca.term = item_a join c cb on cb.src = p.src and cb.term = item_b where n_ab >= 4 and 1000 * n_ab >= n)
+"""
+SQL["p6_found"] = _MET + "select src, item_a, item_b from met where n_ab * n >= 3 * n_a * n_b"
+SQL["p6_odds"] = _MET + """select src, item_a, item_b, cast(n_a as bigint) as n_a, cast(n_b as bigint) as n_b, cast(n_ab as bigint) as n_ab, cast(n as bigint) as n,
+round(cast(n_ab * n as double) / cast(n_a * n_b as double), 6) as lift, round((n_ab + 0.5::double) * (n - n_a - n_b + n_ab + 0.5::double) / ((n_a - n_ab + 0.5::double) * (n_b - n_ab + 0.5::double)), 6) as odds_ratio from met"""
 SQL["p7_found"] = _TERMS + "select src, term, mark from marks where mark is not null"
 SQL["p7_counts"] = _TERMS + "select src, term, occurrences, records, coalesce(mark, 'kept') as mark from marks"
 
