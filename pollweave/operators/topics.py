@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pollweave.functions.semantics import col
+from pollweave.operators import lda
 from pollweave.operators.keywords import matrix
 
 
@@ -21,27 +21,19 @@ def topic_model(vectors: DataFrame, features: str, topics: int, rounds: int, see
     """
     jvm, prior = vectors.sparkSession._jvm, 1.0 / topics
     step = jvm.org.apache.spark.mllib.clustering.OnlineLDAOptimizer().setMiniBatchFraction(1.0).setSampleWithReplacement(False).setKappa(0.0).setOptimizeDocConcentration(False)
-    lda = jvm.org.apache.spark.mllib.clustering.LDA().setK(topics).setMaxIterations(rounds).setSeed(seed).setDocConcentration(prior).setTopicConcentration(prior).setOptimizer(step)
+    fit = jvm.org.apache.spark.mllib.clustering.LDA().setK(topics).setMaxIterations(rounds).setSeed(seed).setDocConcentration(prior).setTopicConcentration(prior).setOptimizer(step)
     pairs = getattr(getattr(jvm.org.apache.spark.ml.clustering, "LDA$"), "MODULE$")
-    return lda.run(pairs.getOldDataset(vectors._jdf, features))
+    return fit.run(pairs.getOldDataset(vectors._jdf, features))
 
 
 def lda_topics(docs: DataFrame, key: str, words: Column, topics: int = 20, terms: int = 30, seed: int = 0, rounds: int = 10) -> DataFrame:
-    """``(topic, rank, word, weight)``: the heaviest words of each topic (batch variational LDA, priors 1/k).
+    """``(topic, rank, word, weight)``: the heaviest words of each topic (batch variational LDA, priors 1/k), of equal ones the first by name.
 
-    Every document counts in every pass and every word is in the vocabulary; the model holds topics x words numbers
-    in the driver and in each task.
+    Every document counts in every pass and every word is in the vocabulary. What :func:`topic_model` does, without the
+    whole vocabulary in one place: the driver and each task hold topics x words numbers for words of two documents or more.
     """
-    d = docs.select(col(key), words.alias("words")).where(F.size("words") > 0)
-    vector = CountVectorizer(inputCol="words", outputCol="features", vocabSize=2**31 - 1).fit(d)
-    vectors = vector.transform(d).select("features").persist()
-    try:
-        best = topic_model(vectors, "features", topics, rounds, seed).describeTopics(terms)
-    finally:
-        vectors.unpersist()
-    vocab = vector.vocabulary
-    rows = [(t, r, vocab[i], w) for t, x in enumerate(best) for r, (i, w) in enumerate(zip(x._1(), x._2(), strict=True), 1)]
-    return d.sparkSession.createDataFrame(rows, "topic int, rank int, word string, weight double")
+    rows = lda.fitted(docs, key, words, topics, terms, seed, rounds)
+    return docs.sparkSession.createDataFrame(rows, "topic int, rank int, word string, weight double")
 
 
 def keyword_clusters(keywords: DataFrame, keyword: str, source: str, k: int = 5, seed: int = 0, rounds: int = 300) -> DataFrame:
